@@ -5,8 +5,11 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
@@ -135,3 +138,29 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         if x == y:
             break
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+# ---- sums of arrays over tasks -------------------------------------------------------------------
+
+
+def array_rows(x: np.ndarray, span: int) -> pa.RecordBatch:
+    """An array's bytes as rows of `span` numbers each, compressed: what one task adds to a sum."""
+    flat, pack = np.ascontiguousarray(x).ravel(), zstandard.ZstdCompressor(level=1)
+    parts = range(-(-len(flat) // span))
+    return pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array([pack.compress(flat[k * span : (k + 1) * span].tobytes()) for k in parts], pa.binary())], ["part", "numbers"])
+
+
+def array_sum(rows: DataFrame, size: int, span: int, dtype: str) -> np.ndarray:
+    """The sum of all tasks' arrays of `size` numbers. Parts are added apart, one after the other: memory is one array a task."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, packed in zip(batch.column("part").to_pylist(), batch.column("numbers").to_pylist(), strict=True):
+                total[part] = total.get(part, 0) + np.frombuffer(zstandard.decompress(packed), dtype)
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.astype(dtype).tobytes() for x in total.values()], pa.binary())], ["part", "numbers"])
+
+    out = np.zeros(size, dtype)
+    for part, numbers in rows.repartition(max(1, min(64, -(-size // span))), "part").mapInArrow(add, "part int, numbers binary").collect():
+        out[part * span : (part + 1) * span] = np.frombuffer(numbers, dtype)
+    return out

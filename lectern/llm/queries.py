@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import ngram_join
+from . import decontaminate, fingerprint, language, ngram_join, packing, passages, url_rules
 from .common import table
 
 
@@ -14,5 +15,38 @@ def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_documents(table(spark, sf_dir, "documents"), 85, 4)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op6_ngram_jaccard,)}
+def op9_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+
+
+URL_RULES = [url_rules.host_rule("block", "net/"), url_rules.host_rule("allow", "example.net/en/"), url_rules.host_rule("block", "example.com/de/"), url_rules.host_rule("allow", "org/fr/")]
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judged(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents (page_id null) and pages (doc_id null), by a text model of the labelled documents."""
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs)
+    columns = ["declared", "text_lang", "lang", "confidence", "keep"]
+    none = F.lit(None).cast("long")
+    own = language.documents_identified(docs, model).select("doc_id", none.alias("page_id"), *columns)
+    return own.unionByName(language.pages_identified(table(spark, sf_dir, "pages"), model).select(none.alias("doc_id"), "page_id", *columns))
+
+
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.merged_spans(passages.repeated_passages(table(spark, sf_dir, "documents")))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_decontamination, op2_best_fit_packing, op5_url_filter, op6_ngram_jaccard, op7_language_id, op8_substring_dedup, op9_fingerprint)}
 ORACLE: dict[str, str] = {}
