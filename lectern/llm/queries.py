@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprint, language, ngram_join, packing, passages, url_rules
+from . import attention_lm, decontaminate, fingerprint, language, ngram_join, packing, passages, token_store, url_rules
 from .common import table
 
 
@@ -48,5 +49,18 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.merged_spans(passages.repeated_passages(table(spark, sf_dir, "documents")))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_decontamination, op2_best_fit_packing, op5_url_filter, op6_ngram_jaccard, op7_language_id, op8_substring_dedup, op9_fingerprint)}
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    store = token_store.write_store(docs, TOKENIZER)
+    return store.read(docs.select("doc_id").distinct()).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op10_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention_lm.scores(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_decontamination, op2_best_fit_packing, op3_token_store, op5_url_filter, op6_ngram_jaccard, op7_language_id, op8_substring_dedup, op9_fingerprint, op10_attention_lm)}
 ORACLE: dict[str, str] = {}
