@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import attention_lm, decontaminate, fingerprint, language, ngram_join, packing, passages, token_store, url_rules
+from . import attention_lm, chat, decontaminate, fingerprint, language, ngram_join, packing, passages, token_store, url_rules
 from .common import table
 
 
@@ -62,5 +62,9 @@ def op10_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attention_lm.scores(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_decontamination, op2_best_fit_packing, op3_token_store, op5_url_filter, op6_ngram_jaccard, op7_language_id, op8_substring_dedup, op9_fingerprint, op10_attention_lm)}
+def op4_chat_quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rendered(table(spark, sf_dir, "conversations"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_decontamination, op2_best_fit_packing, op3_token_store, op4_chat_quotations, op5_url_filter, op6_ngram_jaccard, op7_language_id, op8_substring_dedup, op9_fingerprint, op10_attention_lm)}
 ORACLE: dict[str, str] = {}
