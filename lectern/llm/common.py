@@ -121,21 +121,21 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     spark = edges.sparkSession
     base = shared_dir(spark)
     now = stored(edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), f"{base}/0")
-    k = 0
-    while True:
+    figures = lambda t: t.selectExpr("count(*) n", "coalesce(sum(xxhash64(u, v) % 1000000007), 0) s").first()
+    k, last = 0, figures(now)
+    while last["n"]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u")
-        small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
+        small = small.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
         k += 1
         new = stored(small, f"{base}/{k}")
-        x, y = (t.selectExpr("count(*) n", "coalesce(sum(xxhash64(u, v) % 1000000007), 0) s").first() for t in (now, new))
+        same, last = last, figures(new)
         drop_dir(spark, f"{base}/{k - 1}")
         now = new
-        if x == y:
+        if same == last:
             break
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
