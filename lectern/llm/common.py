@@ -47,6 +47,14 @@ def drop_dir(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def fresh(columns: list[str], name: str) -> str:
+    """A column name that is not among `columns` (in any case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def tidy(spark: SparkSession) -> None:
     """Lets Spark delete the shuffle files of finished jobs now, not whenever the driver collects its garbage."""
     gc.collect()

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared_dir, stored
+from .common import fresh, shared_dir, stored
 
 #: Hashed trigram features; added to each count; weight of a trigram's likelihood, as trigrams overlap.
 FEATURES, ADDED, WEIGHT = 1 << 16, 0.1, 1 / 3
@@ -191,5 +191,6 @@ def pages_identified(pages: DataFrame, model: TextModel) -> DataFrame:
 
 def identified_only(docs: DataFrame, model: TextModel) -> DataFrame:
     """docs without the rows that are no language of the model."""
-    gone = documents_identified(docs, model).where("not keep").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_h")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_h")), "left_anti")
+    of, hashed = fresh(docs.columns, "_id"), fresh(docs.columns, "_hash")
+    gone = documents_identified(docs, model).where("not keep").select(F.col("doc_id").alias(of), F.col("text_hash").alias(hashed)).distinct()
+    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col(of)) & (F.xxhash64(docs["text"]) == F.col(hashed)), "left_anti")
