@@ -23,7 +23,7 @@ from .common import array_rows, array_sum, shared_dir, tidy
 #: Words of a segment; passages are 2, 4, 8 ... segments, one beginning at each segment. Hashed features of other words.
 SEGMENT, OTHERS = 16, 4096
 #: Random directions that start the projection; random mixtures of the items that are added to what it finds; seed.
-RANK, MIXTURES, SEED = 80, 64, 20240501
+RANK, MIXTURES, SEED = 16, 64, 20240501
 #: Cosine from which a passage is checked. Share of an item's words that the common subsequence must have, without
 #: and with its answer; share of its weight; share of the answer's words.
 COSINE, COMMON, COMMON_ANSWER, HEAVY, ANSWER = 0.5, 0.8, 0.6, 0.6, 0.75
@@ -69,20 +69,20 @@ class Benchmark:
         return np.fromiter(map(self.features.__getitem__, words), np.uint32, len(words))
 
 
-def _sums(x: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Row sums of x[ids] by segment."""
-    return np.add.reduceat(x[ids], np.arange(0, len(ids), SEGMENT), axis=0)
+def _sums(x: np.ndarray, ids: np.ndarray, width: int = SEGMENT) -> np.ndarray:
+    """Sums of the rows x[ids] by `width` ids, of which there are a multiple; larger ids are the last row."""
+    return np.take(x, ids.astype(np.int64), axis=0, mode="clip").reshape(-1, width, x.shape[1]).sum(axis=1)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], most: int = 1 << 18) -> Iterator[np.ndarray]:
-    """Features of documents one after the other, each filled up to whole segments with a feature of no weight (the last)."""
+    """Features of documents one after the other, each filled up to whole pairs of segments with a feature of no weight (the last)."""
     own, n = [], 0
     for batch in batches:
         for x in batch.column("features").to_pylist():
             ids = np.frombuffer(x, np.uint32)
             for k in range(0, len(ids), most):
                 own.append(ids[k : k + most])
-                own.append(np.full(-len(own[-1]) % SEGMENT, 0xFFFFFFFF, np.uint32))
+                own.append(np.full(-len(own[-1]) % (2 * SEGMENT), 0x7FFFFFFF, np.uint32))
                 n += len(own[-1]) + len(own[-2])
             if n >= most:
                 yield np.concatenate(own)
@@ -136,7 +136,7 @@ class Search:
     def near(self, ids: np.ndarray) -> dict[int, set[int]]:
         """Segments at which a passage near an item begins, by item number."""
         out: dict[int, set[int]] = {}
-        parts = _sums(self.axes, np.minimum(ids, len(self.axes) - 1))
+        parts = _sums(self.axes, np.append(ids, np.full(-len(ids) % SEGMENT, 0x7FFFFFFF, np.uint32)))
         run = np.vstack([np.zeros((1, parts.shape[1]), np.float64), np.cumsum(parts, axis=0, dtype=np.float64)])
         for span, items in self.by_span.items():
             w = min(span, len(parts))
@@ -212,10 +212,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, total = np.zeros(size + 1, np.float64), 0
         for ids in _blocks(batches):
-            of = np.arange(len(ids)) // (2 * SEGMENT)
-            once = np.unique(of * (size + 1) + np.minimum(ids, size))
-            n += np.bincount(once % (size + 1), minlength=size + 1)
-            total += of[-1] + 1
+            own = np.sort(np.minimum(ids, size).reshape(-1, 2 * SEGMENT), axis=1)
+            n += np.bincount(own[np.hstack([np.ones((len(own), 1), bool), own[:, 1:] != own[:, :-1]])], minlength=size + 1)
+            total += len(own)
         n[size] = total
         yield array_rows(n, SPAN)
 
@@ -226,21 +225,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     start = np.random.default_rng(SEED).standard_normal((size, rank))
     weights = np.append(idf, 0.0)
 
-    def passages(x: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        s = _sums(x, np.minimum(ids, size))
-        return np.add.reduceat(s, np.arange(0, len(s), 2), axis=0)
-
     first = spark.sparkContext.broadcast((np.vstack([start, np.zeros((1, rank))]) * weights[:, None]).astype(np.float32))
 
     def back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z = np.zeros((size + 1, rank))
         for ids in _blocks(batches):
-            y = passages(first.value, ids)
+            y = _sums(first.value, ids, 2 * SEGMENT)
             of = np.minimum(ids, size)
             order = np.argsort(of.astype(np.uint16) if size < 65535 else of, kind="stable")
             of = of[order]
             heads = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
-            z[of[heads]] += np.add.reduceat(y[order // (2 * SEGMENT)], heads, axis=0)
+            z[of[heads]] += np.add.reduceat(np.take(y, order // (2 * SEGMENT), axis=0), heads, axis=0)
         yield array_rows(z[:size], SPAN)
 
     z = array_sum(stored.select("features").mapInArrow(back, numbers), size * rank, SPAN, "float64").reshape(size, rank) * idf[:, None]
@@ -253,7 +248,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     def gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         g = np.zeros((rank, rank))
         for ids in _blocks(batches):
-            y = passages(second.value, ids)
+            y = _sums(second.value, ids, 2 * SEGMENT)
             g += y.T @ y
         yield array_rows(g, SPAN)
 
