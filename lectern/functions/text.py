@@ -206,7 +206,7 @@ def head_and_variants(c: Column) -> Column:
     """The base of a headword, what stands in parentheses and its comma-separated parts, in order, each once."""
     base = F.trim(F.regexp_replace(c, r"\s*\([^)]*\)\s*", " "))
     inner = F.regexp_extract_all(c, F.lit(r"\(([^)]*)\)"), 1)
-    parts = F.flatten(F.transform(F.concat(F.array(base), inner), lambda x: F.transform(F.split(x, ","), F.trim)))
+    parts = F.flatten(F.transform(F.concat(F.array(base), inner), lambda x: F.transform(F.split(x, ","), lambda y: F.trim(y))))
     return F.filter(F.array_distinct(F.concat(F.array(base), inner, parts)), lambda x: x != "")
 
 

@@ -32,7 +32,7 @@ def text_blocks(df: DataFrame, keys: list[str], delimiter: str = r"\n", text: st
 
 def text_files(spark: SparkSession, path: str, glob: str = "*.{txt,md}", recursive: bool = True, delimiter: str = r"\n[ \t]*\n") -> DataFrame:
     """Blocks of plain text files: separated by blank lines. chapter_key is the file name's leading number or all of it."""
-    df = spark.read.option("wholetext", True).option("recursiveFileLookup", recursive).option("pathGlobFilter", glob).text(path).withColumn("source_path", F.col("_metadata.file_path"))
+    df = spark.read.option("recursiveFileLookup", recursive).option("pathGlobFilter", glob).text(path, wholetext=True).withColumn("source_path", F.col("_metadata.file_path"))
     stem = F.regexp_replace(F.element_at(F.split("source_path", "/"), -1), r"\.[^.]*$", "")
     return with_features(text_blocks(df.withColumn("chapter_key", tx.numbered_stem(stem)), ["source_path", "chapter_key"], delimiter, "value"))
 
@@ -56,7 +56,7 @@ def csv_rows(spark: SparkSession, path: str) -> DataFrame:
 def glossary_policy(spark: SparkSession, path: str) -> DataFrame:
     """Approved terms: list columns split at pipes, automation in lower case and `skip` by default; rows without a form go."""
     df = csv_rows(spark, path)
-    split = lambda c: F.filter(F.transform(F.split(F.col(c), r"\|"), F.trim), lambda x: x != "") if c in df.columns else F.array().cast("array<string>")
+    split = lambda c: F.filter(F.transform(F.split(F.col(c), r"\|"), lambda x: F.trim(x)), lambda x: x != "") if c in df.columns else F.array().cast("array<string>")
     lists = {c: split(c) for c in ("lemma_en", "allowed_forms", "discouraged_forms")}
     automation = F.lower(F.trim(F.col("italic_automation"))) if "italic_automation" in df.columns else F.lit("")
     return df.withColumns(lists).withColumn("italic_automation", F.when(automation == "", "skip").otherwise(automation)).where(F.trim("approved_form") != "")
