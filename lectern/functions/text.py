@@ -215,3 +215,27 @@ def marked_stats(cleaned: Column) -> Column:
     marked = F.size(F.filter(words(cleaned), lambda w: w.rlike(f"[{MARKS}{LATIN_MARKED}]")))
     n = word_count(cleaned)
     return F.struct(n.alias("words"), marked.alias("marked"), F.regexp_count(cleaned, F.lit(f"[{MARKS}]")).alias("marks"), F.when(n > 0, marked / n).otherwise(0.0).alias("share"))
+
+
+# Code points of a legacy font and the letters they stand for.
+LEGACY = {
+    "": "а̄",
+    "": "д̣",
+    "": "м̇",
+    "": "н̇",
+    "": "н̣",
+    "": "н̃",
+    "": "р̣",
+    "": "х̣",
+    "": "ш́",
+    "": "—",
+}
+
+
+def legacy_symbols(c: Column) -> Column:
+    """(text, replaced): legacy letters as Unicode, and how many of each there were."""
+    out = c
+    for old, new in LEGACY.items():
+        out = F.replace(out, F.lit(old), F.lit(new))
+    counts = F.filter(F.array(*[F.struct(F.lit(old).alias("key"), count_char(c, old).alias("value")) for old in LEGACY]), lambda e: e["value"] > 0)
+    return F.struct(out.alias("text"), F.map_from_entries(counts).alias("replaced"))

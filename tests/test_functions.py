@@ -115,3 +115,10 @@ def test_decisions(spark):
 def test_blocks_keep_both_indices(spark):
     b = with_features(text_blocks(spark.createDataFrame([(1, "one\n\n two ")], "d int, text string"), ["d"])).orderBy("block_index").collect()
     assert [(r["block_index"], r["paragraph_index"], r["text"]) for r in b] == [(1, 1, "one"), (2, 3, "two")]
+
+
+def test_legacy_symbols_and_messages(spark):
+    r = one(spark, "кр", tx.legacy_symbols)
+    assert r["text"] == "крр̣—р̣" and dict(r["replaced"]) == {"": 2, "": 1}
+    got = spark.createDataFrame([("struct_delete", "a", None), ("struct_replace", "a", "b")], "k string, s string, t string").select(alignment.message(F.col("k"), F.col("s"), F.col("t")).alias("m")).select("m.*").collect()
+    assert got[0]["title"] == "Possibly left out" and "<insertion point>" in got[0]["message"] and got[1]["title"] == "Structure differs"
