@@ -38,7 +38,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 def stored(df: DataFrame, path: str) -> DataFrame:
     """df written under the shared folder and read again: later steps start from its files, not from its lineage."""
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
