@@ -31,3 +31,19 @@ def test_a_line_of_one_side_is_not_many():
     line = made(rng, 12)
     a, b = (passages._hashes(" ".join(x).encode()) for x in ([*made(rng, 90), *line, *made(rng, 90)], [*made(rng, 40), *line * 8, *made(rng, 40)]))
     assert passages.repeated(b, a, 0, [50, 38, 26, 14], 0, 170, 46) == []
+
+
+def test_passages_behind_documents_that_share_a_half(spark):
+    """Passages of two lines, each line in 25 earlier documents; copied with one changed word."""
+    rng, texts, last = random.Random(3), [], []
+    for _ in range(40):
+        one, two = made(rng, 30), made(rng, 30)
+        texts += [[*made(rng, 60), *line, *made(rng, 60)] for line in [one, two] * 25]
+        copy = [*one, *two]
+        copy[rng.randrange(60)] = "new"
+        last.append(([*made(rng, 60), *one, *two, *made(rng, 60)], [*made(rng, 60), *copy, *made(rng, 60)]))
+    rng.shuffle(texts)
+    texts += [x for x, _ in last] + [y for _, y in last]
+    df = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(texts)], "doc_id long, text string")
+    found = {(r["source_id"], r["doc_id"]) for r in passages.repeated_passages(df).collect() if r["end_word"] - r["first_word"] >= 50}
+    assert found == {(2000 + k, 2040 + k) for k in range(40)}
