@@ -6,8 +6,8 @@ it, so that a token costs two short softmaxes. Tokens outside the FREQUENT ones
 and then follow their counts there. A word's probability is mixed from that of its subwords and its frequency among the
 KNOWN most frequent words, which costs the model nothing and keeps what whole words tell.
 
-Counts of subwords and words cover all training documents. Weights are fitted to windows drawn from all of them at one
-rate, in parallel: each task goes on from the common weights over its share, and the results are averaged by windows.
+Counts of subwords and words cover all training documents. Weights are fitted to all their windows, in
+parallel: each task goes on from the common weights over its share, and the results are averaged by windows.
 """
 
 from __future__ import annotations
@@ -30,9 +30,9 @@ LENGTH, STRIDE, WIDTH, CLASSES = 32, 24, 16, 32
 SYMBOLS = CLASSES * CLASSES
 #: The last symbol ends a text (and stands before it); the one before is every token that is not frequent.
 FREQUENT, RARE, END = SYMBOLS - 2, SYMBOLS - 2, SYMBOLS - 1
-#: One window in RATE is fitted to, of each task's first FIRST windows all; windows of a step; rounds; step size; steps
-#: of a share in a round, for which its windows are gone through again if they are too few.
-RATE, FIRST, BATCH, ROUNDS, STEP, STEPS = 128, 8192, 32, 2, 1e-2, 1500
+#: Windows of a step; rounds; step size; steps of a share in a round, for which its windows are gone through again if
+#: they are too few; windows of a batch of rows.
+BATCH, ROUNDS, STEP, STEPS, SOME = 32, 2, 1e-2, 1500, 8192
 #: Words whose counts each task holds; others are joined.
 KNOWN = 200_000
 #: Share of a word's probability that comes from the counts of those words, instead of from its subwords.
@@ -220,7 +220,7 @@ def scores(docs: DataFrame, tokenizer: str) -> DataFrame:
         return pa.RecordBatch.from_arrays([own.get(f.name, pa.nulls(k, f.type)) for f in kinds], schema=kinds)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, n_docs, nth = word_ids(tokenizer), 0, 0
+        words, n_docs = word_ids(tokenizer), 0
         sub, counts, each = np.zeros(words.size, np.int64), {}, np.dtype(words.dtype).itemsize
 
         def counted() -> pa.RecordBatch:
@@ -241,9 +241,10 @@ def scores(docs: DataFrame, tokenizer: str) -> DataFrame:
                 ids = np.frombuffer(all_ids[-1], words.dtype)
                 read.append(ids)
                 view, _ = windows_of(np.append(ids.astype("<i4"), np.int32(-1)), -1)
-                at = np.arange(nth, nth + len(view))
-                kept += [x.tobytes() for x in view[(at < FIRST) | (at % RATE == 0)]]
-                nth += len(view)
+                kept += [x.tobytes() for x in view]
+                if len(kept) >= SOME:
+                    yield filled(len(kept), window=pa.array(kept, pa.binary()))
+                    kept = []
             yield filled(batch.num_rows, doc_id=batch.column("doc_id"), text=pa.array(batch.column("text").to_pylist(), pa.binary()), ids=pa.array(all_ids, pa.binary()), sizes=pa.array(all_sizes, pa.binary()))
             if read:
                 sub += np.bincount(np.concatenate(read), minlength=words.size)

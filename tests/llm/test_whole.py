@@ -2,9 +2,12 @@
 
 import random
 
+import numpy as np
+import public_tokenizers
 import pytest
 
-from lectern.llm import passages
+from lectern.llm import attention_lm, passages
+from lectern.llm.tokens import word_ids
 
 
 def made(rng, n):
@@ -47,3 +50,25 @@ def test_passages_behind_documents_that_share_a_half(spark):
     df = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(texts)], "doc_id long, text string")
     found = {(r["source_id"], r["doc_id"]) for r in passages.repeated_passages(df).collect() if r["end_word"] - r["first_word"] >= 50}
     assert found == {(2000 + k, 2040 + k) for k in range(40)}
+
+
+TOKENS = public_tokenizers.path("word_bpe_49k.json")
+
+
+def test_model_is_fitted_to_all_windows(spark, monkeypatch):
+    """More windows than a task once took whole."""
+    text = " ".join(f"word{k % 977}x{k % 31}" for k in range(6_000))
+    df = spark.createDataFrame([(k, text) for k in range(15) if not attention_lm.held_out(k)], "doc_id long, text string").coalesce(1)
+    per_word, fitted, add = word_ids(TOKENS), [], attention_lm.array_sum
+
+    def seen(rows, size, span, dtype):
+        out = add(rows, size, span, dtype)
+        if size == attention_lm.N_WEIGHTS + 1:
+            fitted.append(int(out[-1]))
+        return out
+
+    monkeypatch.setattr(attention_lm, "array_sum", seen)
+    monkeypatch.setattr(attention_lm, "ROUNDS", 1)
+    n = sum(len(per_word[w]) for w in text.encode().split()) // np.dtype(per_word.dtype).itemsize + 1
+    attention_lm.scores(df, TOKENS)
+    assert fitted == [df.count() * -(-n // attention_lm.STRIDE)] and fitted[0] > 10_000
