@@ -3,8 +3,8 @@
 One attention layer over windows of LENGTH positions; each window scores its last STRIDE tokens, so every token is
 scored once, with at least LENGTH - STRIDE tokens before it. The next token's distribution is a class and a member of
 it, so that a token costs two short softmaxes. Tokens outside the FREQUENT ones of the training texts share one symbol
-and then follow their counts there. A word's probability is mixed from that of its subwords and its frequency among the
-KNOWN most frequent words, which costs the model nothing and keeps what whole words tell.
+and then follow their counts there. A word's probability is mixed from that of its subwords and its frequency among all
+words, which costs the model nothing and keeps what whole words tell.
 
 Counts of subwords and words cover all training documents. Weights are fitted to all their windows, in
 parallel: each task goes on from the common weights over its share, and the results are averaged by windows.
@@ -35,7 +35,7 @@ FREQUENT, RARE, END = SYMBOLS - 2, SYMBOLS - 2, SYMBOLS - 1
 BATCH, ROUNDS, STEP, STEPS, SOME = 32, 2, 1e-2, 1500, 8192
 #: Words whose counts each task holds; others are joined.
 KNOWN = 200_000
-#: Share of a word's probability that comes from the counts of those words, instead of from its subwords.
+#: Share of a word's probability that comes from the counts of words, instead of from its subwords.
 MIXED = 0.3
 SPAN = 1 << 15
 
@@ -204,8 +204,8 @@ def scores(docs: DataFrame, tokenizer: str) -> DataFrame:
     """One row for each row of `docs`: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Learns from rows that are not held out. Words: between ASCII white space, A-Z in lower case, then one end.
-    base_score: their log10 probabilities by counts plus one; score: the model's log10 probability of their subwords
-    and the end. Null or empty text: the end alone. Null doc_id: held out. Repeated rows: counted and scored each.
+    base_score: their log10 probabilities by counts plus one; score: their log10 probabilities and the end's by the
+    model, mixed from subwords and counts of words. Null or empty text: the end alone. Null doc_id: held out. Repeated rows: counted and scored each.
     A table without training rows: counts are none and the model is even. An empty table: no rows.
     """
     spark = docs.sparkSession
@@ -314,7 +314,7 @@ def scores(docs: DataFrame, tokenizer: str) -> DataFrame:
     top = counts.where(F.floor(F.log2("c") * 16) >= (least if least is not None else 1 << 20)).toPandas().sort_values("hash")
     known = sc.broadcast((top["hash"].to_numpy(np.int64), top["c"].to_numpy(np.int64), flat, symbol, rare))
     whole = distinct <= len(top)
-    end_count, mass = n_docs, int(top["c"].sum()) + n_docs
+    end_count, mass = n_docs, max(1, n_train)
 
     def log_base(c: np.ndarray) -> np.ndarray:
         return np.log10((c + 1) / (n_train + v_train + 1))
@@ -322,10 +322,10 @@ def scores(docs: DataFrame, tokenizer: str) -> DataFrame:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, numbers, flat, symbol, rare = known.value
         w, key = unpack(flat), TaskContext.get().partitionId() << 40
-        schema = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("hash", pa.int64()), ("tf", pa.int64())])
+        schema = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("hash", pa.int64()), ("sub", pa.float64())])
         for batch in batches:
             docs, far = [], [[], [], []]
-            symbols, sizes, often, more = [], [], [], []
+            symbols, sizes, often, more, apart = [], [], [], [], []
             for doc_id, text, ids, n in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "ids", "sizes")), strict=True):
                 own = lower_words(text)
                 h = np.fromiter(map(xxh3_64_intdigest, own), np.uint64, len(own)).view(np.int64)
@@ -336,8 +336,8 @@ def scores(docs: DataFrame, tokenizer: str) -> DataFrame:
                 if whole:
                     total += float(log_base(np.array(0))) * int((~near).sum())
                 elif not near.all():
-                    u, tf = np.unique(h[~near], return_counts=True)
-                    far[0].append(np.full(len(u), key, np.int64)), far[1].append(u), far[2].append(tf)
+                    far[0].append(np.full(int((~near).sum()), key, np.int64)), far[1].append(h[~near])
+                apart.append(np.append(np.zeros(len(own), bool) if whole else ~near, False))
                 ids = np.frombuffer(ids, dtype)
                 more.append(np.append(rare[ids], 0.0))
                 symbols.append(np.append(symbol[ids], np.int32(END)))
@@ -353,25 +353,29 @@ def scores(docs: DataFrame, tokenizer: str) -> DataFrame:
                 ends = np.cumsum(np.concatenate(sizes[a:b]))
                 sums = np.append(0.0, np.cumsum(p[real] + np.concatenate(more[a:b])))[np.append(0, ends)]
                 with np.errstate(divide="ignore"):
-                    whole_words = np.log(MIXED * np.concatenate(often[a:b]) / max(1, mass))
-                each = np.logaddexp(np.log(1 - MIXED) + np.diff(sums), whole_words) / np.log(10)
+                    whole_words = np.log(MIXED * np.concatenate(often[a:b]) / mass)
+                subwords, later = np.log(1 - MIXED) + np.diff(sums), np.concatenate(apart[a:b])
+                far[2].append(subwords[later])
+                each = np.where(later, 0.0, np.logaddexp(subwords, whole_words) / np.log(10))
                 model[a:b] = np.add.reduceat(each, np.cumsum([0, *map(len, sizes[a : b - 1])]))
             cols = list(zip(*docs, strict=True)) if docs else [[]] * 5
-            yield pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(cols, schema.types[:5], strict=True)), pa.array(model), pa.nulls(len(docs), pa.int64()), pa.nulls(len(docs), pa.int64())], schema=schema)
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(cols, schema.types[:5], strict=True)), pa.array(model), pa.nulls(len(docs), pa.int64()), pa.nulls(len(docs), pa.float64())], schema=schema)
             if far[0]:
                 k = sum(map(len, far[0]))
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(far[0])), *(pa.nulls(k, t) for t in schema.types[1:6]), pa.array(np.concatenate(far[1])), pa.array(np.concatenate(far[2]))], schema=schema)
 
     texts = gathered.where("ids is not null").select("doc_id", "text", "ids", "sizes")
-    scored = stored(texts.mapInArrow(score, "key long, doc_id long, n_tokens long, n_known long, base double, score double, hash long, tf long"), f"{base}/scored")
+    scored = stored(texts.mapInArrow(score, "key long, doc_id long, n_tokens long, n_known long, base double, score double, hash long, sub double"), f"{base}/scored")
     tidy(spark)
-    more = scored.where("hash is not null").select("key", "hash", "tf").join(counts, "hash", "left")
-    more = more.groupBy("key").agg(F.sum(F.when(F.col("c").isNotNull(), F.col("tf"))).alias("k"), F.sum(F.col("tf") * F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(float(n_train + v_train + 1)))).alias("b"))
+    more = scored.where("hash is not null").select("key", "hash", "sub").join(counts, "hash", "left")
+    by_word = F.log(F.lit(MIXED) * F.col("c") / F.lit(float(mass)))
+    mixed = F.when(F.col("c").isNull(), F.col("sub")).otherwise(F.greatest("sub", by_word) + F.log1p(F.exp(-F.abs(F.col("sub") - by_word))))
+    more = more.groupBy("key").agg(F.count("c").alias("k"), F.sum(F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(float(n_train + v_train + 1)))).alias("b"), F.sum(mixed / F.lit(float(np.log(10)))).alias("m"))
     own = scored.where("n_tokens is not null").join(more, "key", "left")
     out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) == 2
     return own.select(
         "doc_id", F.coalesce(out, F.lit(True)).alias("held_out"), "n_tokens", (F.col("n_known") + F.coalesce("k", F.lit(0))).alias("n_known"),
-        F.lit(n_train).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("b", F.lit(0.0))).alias("base_score"), "score",
+        F.lit(n_train).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("b", F.lit(0.0))).alias("base_score"), (F.col("score") + F.coalesce("m", F.lit(0.0))).alias("score"),
     )
 
 

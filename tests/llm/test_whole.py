@@ -72,3 +72,16 @@ def test_model_is_fitted_to_all_windows(spark, monkeypatch):
     n = sum(len(per_word[w]) for w in text.encode().split()) // np.dtype(per_word.dtype).itemsize + 1
     attention_lm.scores(df, TOKENS)
     assert fitted == [df.count() * -(-n // attention_lm.STRIDE)] and fitted[0] > 10_000
+
+
+def test_words_of_the_join_are_mixed_too(spark, monkeypatch):
+    """The score is the same whether a word's count stands with each task or comes by the join."""
+    rng = random.Random(5)
+    df = spark.createDataFrame([(k, " ".join(rng.choice(["the", "of", f"name{rng.randrange(40)}", "Überzug", f"odd{k}"]) for _ in range(60))) for k in range(40)] + [(99, None), (98, "")], "doc_id long, text string")
+    monkeypatch.setattr(attention_lm, "ROUNDS", 0)
+    rows = [attention_lm.scores(df, TOKENS).collect()]
+    monkeypatch.setattr(attention_lm, "KNOWN", 3)
+    rows.append(attention_lm.scores(df, TOKENS).collect())
+    one, two = ({r["doc_id"]: r for r in x} for x in rows)
+    for k in one:
+        assert one[k]["n_known"] == two[k]["n_known"] and np.isclose(one[k]["base_score"], two[k]["base_score"]) and np.isclose(one[k]["score"], two[k]["score"])
