@@ -12,7 +12,8 @@ much, or if the sets' parity marks tell that they differ in too many tokens; all
 
 Equal sets are one node from the start. Entries with many nodes are not expanded into pairs at once: in each of a few
 rounds every node meets one pivot of its entry; what is linked becomes one component, and only pairs of different
-components are left for the rest, which is exhaustive.
+components are left for the rest, which is exhaustive. Where links are counted, the pairs within the components that
+have not been verified yet follow: as many as there are links, at least, so the square of a group of near copies.
 """
 
 from __future__ import annotations
@@ -176,12 +177,12 @@ def _verify(width: int, at_least: int):
     return run
 
 
-def similar_documents(docs: DataFrame, at_least: int = 85, width: int = 4) -> DataFrame:
+def similar_documents(docs: DataFrame, at_least: int = 85, width: int = 4, count_links: bool = True) -> DataFrame:
     """One row for each row of `docs`: doc_id, n_shingles, component_id, n_links.
 
     Two documents link when 100 * |intersection| >= at_least * |union| of their sets of `width`-word shingles;
-    component_id is the smallest doc_id reachable by links, itself included; n_links counts the links from the row's
-    text to different sets that were needed to connect its component (not all that exist) plus none for equal sets.
+    component_id is the smallest doc_id reachable by links, itself included; n_links counts the different sets that
+    the row's set links with, equal ones not among them. Without count_links: those needed to connect its component only.
 
     Null or blank text: an empty set, linked with nothing. Null doc_id: kept; it goes with equal
     texts, but is not compared with others and names no component. Repeated rows: a row each. Other columns are ignored. Empty input: no rows.
@@ -248,6 +249,16 @@ def similar_documents(docs: DataFrame, at_least: int = 85, width: int = 4) -> Da
     if named is None:
         of = first.select("node", F.col("first").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
     else:
+        if count_links:
+            inside = shared.join(chosen.join(named, "node").select("node", *marks, F.col("component").alias("c")), "node")
+            right = inside.select("sig", "c", F.col("node").alias("a"), F.col("n").alias("na"), F.col("p").alias("pa"), *[F.col(m).alias(f"{m}a") for m in marks])
+            pairs = inside.join(right, ["sig", "c"]).where(f"a < node and {near}").select("a", F.col("node").alias("b")).distinct()
+            for old in tested:
+                pairs = pairs.join(old, ["a", "b"], "left_anti")
+            pairs = stored(pairs, f"{base}/inside")
+            loaded = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b").join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+            links = links.unionByName(stored(loaded.select("a", "b", "text_a", "text_b").mapInArrow(_verify(width, at_least), "a long, b long").distinct(), f"{base}/links_inside"))
+            tidy(spark)
         degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
         named = first.join(named, "node", "left").withColumn("component", F.coalesce("component", "node"))
         least = named.groupBy("component").agg(F.min("first").alias("component_id"))
@@ -272,7 +283,7 @@ def keep_one(docs: DataFrame, at_least: int = 80, width: int = 5) -> DataFrame:
 
     Texts without words and rows without doc_id stay.
     """
-    found = similar_documents(docs, at_least, width).where("doc_id is not null")
+    found = similar_documents(docs, at_least, width, count_links=False).where("doc_id is not null")
     gone = found.groupBy("doc_id").agg(F.min("component_id").alias("c"), F.max("n_shingles").alias("n"))
     gone = gone.where("c < doc_id and n > 0").select("doc_id")
     return docs.join(gone, "doc_id", "left_anti")

@@ -6,7 +6,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from lectern.llm import attention_lm, passages
+from lectern.llm import attention_lm, ngram_join, passages
 from lectern.llm.tokens import word_ids
 
 
@@ -85,3 +85,21 @@ def test_words_of_the_join_are_mixed_too(spark, monkeypatch):
     one, two = ({r["doc_id"]: r for r in x} for x in rows)
     for k in one:
         assert one[k]["n_known"] == two[k]["n_known"] and np.isclose(one[k]["base_score"], two[k]["base_score"]) and np.isclose(one[k]["score"], two[k]["score"])
+
+
+def test_all_links_are_counted(spark):
+    """Groups in which every text is near every other one, and chains."""
+    rng, own = random.Random(6), []
+    for _ in range(6):
+        base = made(rng, 120)
+        for _ in range(7):
+            w = list(base)
+            for _ in range(rng.randrange(1, 4)):
+                w[rng.randrange(120)] = f"x{rng.randrange(10**6)}"
+            own.append(w)
+    own += [own[0], own[3]]
+    sets = [frozenset(tuple(w[k : k + 4]) for k in range(117)) for w in own]
+    near = lambda a, b: a != b and 100 * len(a & b) >= 85 * len(a | b)
+    df = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(own)], "doc_id long, text string")
+    got = {r["doc_id"]: r["n_links"] for r in ngram_join.similar_documents(df).collect()}
+    assert got == {k: sum(near(a, b) for b in set(sets)) for k, a in enumerate(sets)}
