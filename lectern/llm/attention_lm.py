@@ -1,18 +1,25 @@
-"""A small causal self-attention language model in numpy, over subword ids.
+"""A causal self-attention language model in numpy, over subword ids.
 
-One attention layer over windows of LENGTH positions; each window scores its last STRIDE tokens, so every token is
-scored once, with at least LENGTH - STRIDE tokens before it. The next token's distribution is a class and a member of
-it, so that a token costs two short softmaxes. Tokens outside the FREQUENT ones of the training texts share one symbol
-and then follow their counts there. A word's probability is mixed from that of its subwords and its frequency among all
-words, which costs the model nothing and keeps what whole words tell.
+Every subword that training has seen has a source row (key and value) and a target row (query and residual); one
+attention layer over a window of LENGTH positions, masked to what stands before, gives a state h for each position. The
+next subword v follows with probability
 
-Counts of subwords and words cover all training documents. Weights are fitted to all their windows, in
-parallel: each task goes on from the common weights over its share, and the results are averaged by windows.
+    q(v) ((1 - FLOOR) (u_v . h)^2 / Z + FLOOR),   Z = h' G h,   G = sum of q(v) u_v u_v' over the whole vocabulary
+
+where q are the smoothed counts of all training texts: the spherical kin of a softmax, whose sum over all subwords is
+one small matrix, so that nothing is sampled, grouped or left out. Attention weights are squares of q . k plus a number
+for the distance, over their sum, for the same reason: there is no exponential in the hot path.
+
+Counts cover all training texts, and so do the windows that the model is fitted to, in parallel: texts are dealt into
+shares, rounds take a part of the shares each, every share goes on from the common weights over all its windows, and the
+results are averaged by windows. Scoring uses windows of LENGTH positions that overlap by half, of which the last STRIDE
+are scored: every token once, with at least LENGTH - STRIDE before it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 from zlib import crc32
 
 import numpy as np
@@ -20,23 +27,20 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh3_64_intdigest
 
-from .common import array_rows, array_sum, lower_words, shared_dir, stored, tidy
+from .common import array_rows, array_sum, bytes_hashes, keep_heap, shared_dir, slices, stored, tidy
 from .tokens import word_ids
 
-#: Positions of a window, of which the last STRIDE are scored; width; classes, and members of each.
-LENGTH, STRIDE, WIDTH, CLASSES = 32, 24, 16, 32
-SYMBOLS = CLASSES * CLASSES
-#: The last symbol ends a text (and stands before it); the one before is every token that is not frequent.
-FREQUENT, RARE, END = SYMBOLS - 2, SYMBOLS - 2, SYMBOLS - 1
-#: Windows of a step; rounds; step size; steps of a share in a round, for which its windows are gone through again if
-#: they are too few; windows of a batch of rows.
-BATCH, ROUNDS, STEP, STEPS, SOME = 32, 2, 1e-2, 1500, 8192
-#: Words whose counts each task holds; others are joined.
-KNOWN = 200_000
-#: Share of a word's probability that comes from the counts of words, instead of from its subwords.
-MIXED = 0.3
+#: Positions of a window, of which scoring takes the last STRIDE; width of keys; width of values, states and outputs.
+LENGTH, STRIDE, KEYS, WIDTH = 32, 16, 8, 24
+#: Share of q alone in a probability; added to each subword's count.
+FLOOR, ADDED = 2e-3, 0.5
+#: Windows of a step; first step size; tokens of a share, about; parts of the shares, one a round.
+BATCH, STEP, SHARE, ROUNDS = 128, 0.3, 4_000_000, 4
+#: Tables with fewer training tokens are gone through again until so many have been read, at most PASSES times.
+FITTED, PASSES = 8_000_000, 8
+#: Words whose counts each task holds; others are joined. Windows whose order is mixed at a time.
+KNOWN, MIXED = 500_000, 2048
 SPAN = 1 << 15
 
 
@@ -47,154 +51,164 @@ def held_out(doc_id: int | None) -> bool:
 
 # ---- the model -----------------------------------------------------------------------------------
 
+#: Columns of a row of the weights: key, value, one, then query, residual.
+SOURCE, TARGET = KEYS + WIDTH + 1, KEYS + WIDTH
+_FAR = np.abs(np.arange(LENGTH)[:, None] - np.arange(LENGTH)[None, :])
+_BEFORE = np.tril(np.ones((LENGTH, LENGTH), np.float32))
 
-def shapes() -> dict[str, tuple[int, ...]]:
-    d = WIDTH
-    return {"e": (SYMBOLS, d), "p": (LENGTH, d), "q": (d, d), "k": (d, d), "v": (d, d), "o": (d, d), "c": (d, CLASSES), "cb": (CLASSES,), "m": (CLASSES, d, CLASSES), "mb": (CLASSES, CLASSES)}
 
+class Vocabulary:
+    """Which subword is which symbol: those that training has seen, the end of a text, and one symbol for all others."""
 
-def unpack(flat: np.ndarray) -> dict[str, np.ndarray]:
-    out, at = {}, 0
-    for name, s in shapes().items():
-        n = int(np.prod(s))
-        out[name] = flat[at : at + n].reshape(s)
-        at += n
-    return out
+    def __init__(self, counts: np.ndarray, ends: int):
+        """counts: of each subword; ends: how many training texts."""
+        seen = np.flatnonzero(counts)
+        self.n = len(seen) + 2
+        self.end, self.unseen = len(seen), len(seen) + 1
+        self.symbol = np.full(len(counts) + 1, self.unseen, np.int64)
+        self.symbol[seen], self.symbol[-1] = np.arange(len(seen)), self.end  # an id of -1 is the end
+        q = np.append(counts, ends) + ADDED
+        self.log_q = np.log(q / q.sum())  # of each subword, the end last
+        q = np.exp(self.log_q)
+        rest = q[:-1][counts == 0].sum()
+        self.q = np.concatenate([q[seen], q[-1:], [rest]]).astype(np.float32)
 
 
-N_WEIGHTS = sum(int(np.prod(s)) for s in shapes().values())
+def size_of(n: int) -> int:
+    return n * (SOURCE + TARGET + WIDTH) + LENGTH
 
 
-def started(counts: np.ndarray, seed: int = 7) -> np.ndarray:
-    """Weights that predict by the symbols' counts, whatever came before."""
-    rng = np.random.default_rng(seed)
-    flat = np.zeros(N_WEIGHTS, np.float32)
-    w = unpack(flat)
-    for name, scale in (("e", 0.3), ("p", 0.1), ("q", 0.25), ("k", 0.25), ("v", 0.1), ("o", 0.1), ("c", 0.05), ("m", 0.05)):
-        w[name][:] = rng.standard_normal(w[name].shape) * scale
-    n = (counts + 0.5).reshape(CLASSES, CLASSES)
-    w["cb"][:] = np.log(n.sum(axis=1) / n.sum())
-    w["mb"][:] = np.log(n / n.sum(axis=1, keepdims=True))
-    return flat
+def unpack(flat: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of the symbols, their outputs u, and the numbers for distances."""
+    a, b = n * (SOURCE + TARGET), n * (SOURCE + TARGET + WIDTH)
+    return flat[:a].reshape(n, -1), flat[a:b].reshape(n, WIDTH), flat[b:]
 
 
-_MASK = np.where(np.arange(LENGTH)[None, :] <= np.arange(LENGTH - STRIDE, LENGTH)[:, None], 0, -1e9).astype(np.float32)
-
-
-def hidden(w: dict[str, np.ndarray], x: np.ndarray):
-    """States of the last STRIDE positions of each window (windows x LENGTH symbols), and what the gradient needs."""
-    h = w["e"][x] + w["p"]
-    s = h[:, -STRIDE:]
-    q, k, v = s @ (w["q"] / np.float32(WIDTH**0.5)), h @ w["k"], h @ w["v"]
-    a = q @ k.transpose(0, 2, 1) + _MASK
-    a = np.exp(a - a.max(axis=2, keepdims=True))
-    a /= a.sum(axis=2, keepdims=True)
-    o = a @ v
-    return s + o @ w["o"], (h, s, q, k, v, a, o)
-
-
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=-1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=-1, keepdims=True))
-
-
-def _picked(x: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """One entry of each row of the log softmax. The largest is taken off only where an exponential could overflow."""
-    if len(x) and x.max() > 60:
-        x = x - x.max(axis=1, keepdims=True)
-    return x[np.arange(len(x)), at] - np.log(np.exp(x).sum(axis=1))
-
-
-def log_probabilities(w: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Natural logs of the next symbols y (windows x STRIDE) after each scored position."""
-    h = w["e"][x] + w["p"]
-    s = h[:, -STRIDE:]
-    a = (s @ (w["q"] / np.float32(WIDTH**0.5))) @ (h @ w["k"]).transpose(0, 2, 1)
-    a += _MASK
-    np.exp(np.minimum(a, 80, out=a), out=a)
-    o = (a @ (h @ w["v"])) / a.sum(axis=2, keepdims=True)
-    s = (s + o @ w["o"]).reshape(-1, WIDTH)
-    target = y.ravel()
-    c, m = target // CLASSES, target % CLASSES
-    out = _picked(s @ w["c"] + w["cb"], c)
-    order = np.argsort(c.astype(np.uint8), kind="stable")
-    bounds = np.searchsorted(c[order], np.arange(CLASSES + 1)).tolist()
-    s, m = s[order], m[order]
-    of_members = np.empty_like(out)
-    for k in range(CLASSES):
-        a, b = bounds[k], bounds[k + 1]
-        if a < b:
-            of_members[a:b] = _picked(s[a:b] @ w["m"][k] + w["mb"][k], m[a:b])
-    out[order] += of_members
-    return out.reshape(y.shape)
-
-
-def gradient(flat: np.ndarray, x: np.ndarray, y: np.ndarray, use: np.ndarray) -> tuple[float, np.ndarray]:
-    """Mean loss over the positions of `use` and its gradient."""
-    w, out = unpack(flat), np.zeros_like(flat)
-    g = unpack(out)
-    states, (h, s, q, k, v, a, o) = hidden(w, x)
-    z, target, on = states.reshape(-1, WIDTH), y.ravel(), use.ravel().astype(np.float32)
-    n = max(float(on.sum()), 1.0)
-    c, m = target // CLASSES, target % CLASSES
-    rows = np.arange(len(c))
-    lc = _log_softmax(z @ w["c"] + w["cb"])
-    loss = -float((lc[rows, c] * on).sum())
-    d = np.exp(lc)
-    d[rows, c] -= 1
-    d *= on[:, None] / n
-    g["c"][:], g["cb"][:] = z.T @ d, d.sum(axis=0)
-    dz = d @ w["c"].T
-    for j in np.unique(c).tolist():
-        r = np.flatnonzero(c == j)
-        lm = _log_softmax(z[r] @ w["m"][j] + w["mb"][j])
-        loss -= float((lm[np.arange(len(r)), m[r]] * on[r]).sum())
-        d = np.exp(lm)
-        d[np.arange(len(r)), m[r]] -= 1
-        d *= on[r, None] / n
-        g["m"][j], g["mb"][j] = z[r].T @ d, d.sum(axis=0)
-        dz[r] += d @ w["m"][j].T
-    ds = dz.reshape(states.shape)
-    g["o"][:] = o.reshape(-1, WIDTH).T @ dz
-    do = ds @ w["o"].T
-    da = do @ v.transpose(0, 2, 1)
-    dv = a.transpose(0, 2, 1) @ do
-    da = a * (da - (da * a).sum(axis=2, keepdims=True))
-    dq, dk = da @ k, da.transpose(0, 2, 1) @ q
-    scale = np.float32(WIDTH**0.5)
-    g["q"][:] = s.reshape(-1, WIDTH).T @ dq.reshape(-1, WIDTH) / scale
-    g["k"][:] = h.reshape(-1, WIDTH).T @ dk.reshape(-1, WIDTH)
-    g["v"][:] = h.reshape(-1, WIDTH).T @ dv.reshape(-1, WIDTH)
-    dh = dk @ w["k"].T + dv @ w["v"].T
-    dh[:, -STRIDE:] += ds + dq @ w["q"].T / scale
-    g["p"][:] = dh.sum(axis=0)
-    np.add.at(g["e"], x.ravel(), dh.reshape(-1, WIDTH))
-    return loss / n, out
-
-
-def fitted(flat: np.ndarray, windows: np.ndarray, use: np.ndarray, step: float) -> np.ndarray:
-    """Weights after Adam over windows of LENGTH + 1 symbols: one pass, or as many as make STEPS steps."""
-    flat, m, v = flat.copy(), np.zeros_like(flat), np.zeros_like(flat)
-    each = -(-len(windows) // BATCH)
-    steps = each * -(-STEPS // each)
-    for t in range(steps):
-        at = t % each * BATCH
-        x, on = windows[at : at + BATCH], use[at : at + BATCH]
-        _, g = gradient(flat, x[:, :-1], x[:, -STRIDE:], on)
-        m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
-        rate = step * (1 - t / steps)
-        flat -= rate * (m / (1 - 0.9 ** (t + 1))) / (np.sqrt(v / (1 - 0.99 ** (t + 1))) + 1e-6)
+def started(n: int, seed: int = 7) -> np.ndarray:
+    """Small random weights around a state and outputs that predict by q alone."""
+    rng = np.random.default_rng(seed)
+    flat = np.zeros(size_of(n), np.float32)
+    rows, u, near = unpack(flat, n)
+    rows[:] = 0.3 * rng.standard_normal(rows.shape)
+    rows[:, KEYS : SOURCE - 1] /= 3
+    rows[:, SOURCE - 1] = 1
+    rows[:, SOURCE + KEYS] = 1
+    u[:] = 0.3 * rng.standard_normal(u.shape)
+    u[:, 0] = 1
+    near[:] = 1 + 0.5 / (1 + np.arange(LENGTH))
     return flat
 
 
-def windows_of(symbols: np.ndarray, fill: int = END) -> tuple[np.ndarray, np.ndarray]:
-    """Windows of LENGTH + 1 symbols of a text that ends with `fill`, and which of the last STRIDE are real."""
-    n = len(symbols)
-    blocks = -(-n // STRIDE)
-    padded = np.full(LENGTH - STRIDE + 1 + blocks * STRIDE, fill, symbols.dtype)
-    padded[LENGTH - STRIDE + 1 : LENGTH - STRIDE + 1 + n] = symbols
-    view = np.lib.stride_tricks.sliding_window_view(padded, LENGTH + 1)[::STRIDE] if blocks else np.empty((0, LENGTH + 1), symbols.dtype)
-    return view, (np.arange(blocks * STRIDE) < n).reshape(-1, STRIDE)
+def gram(u: np.ndarray, q: np.ndarray) -> np.ndarray:
+    return (u * q[:, None]).T @ u
+
+
+def attended(source: np.ndarray, target: np.ndarray, near: np.ndarray):
+    """States of the last positions of each window, as many as `target` has; and what the gradient needs."""
+    n = target.shape[1]
+    k, v, q, r = source[..., :KEYS], source[..., KEYS:], target[..., :KEYS], target[..., KEYS:]
+    s = np.matmul(q, k.transpose(0, 2, 1))
+    s += near[_FAR[-n:]]
+    s *= _BEFORE[-n:]
+    w = s * s
+    o = np.matmul(w, v)
+    total = o[..., -1:] + np.float32(1e-6)
+    o = o[..., :-1] / total
+    return r + o, (k, v, q, s, w, o, total)
+
+
+def _dot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.einsum("ij,ij->i", a, b)
+
+
+def log_probabilities(rows: np.ndarray, u: np.ndarray, near: np.ndarray, g: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Natural logs of p / q for the next symbols y (windows x STRIDE) after the last positions of x (windows x LENGTH)."""
+    h, _ = attended(rows[:, :SOURCE].take(x, axis=0), rows[:, SOURCE:].take(x[:, -STRIDE:], axis=0), near)
+    h = h.reshape(-1, WIDTH)
+    z = _dot(h @ g, h)
+    r = _dot(u.take(y.ravel(), axis=0), h)
+    return np.log((1 - FLOOR) * r * r / np.maximum(z, 1e-20) + FLOOR).reshape(y.shape)
+
+
+def _by_symbol(x: np.ndarray, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the rows of g with equal x."""
+    order = np.argsort(x.astype(np.uint16) if x.max() < 1 << 16 else x, kind="stable")
+    x = x[order]
+    heads = np.flatnonzero(np.append(True, x[1:] != x[:-1]))
+    return x[heads], np.add.reduceat(g[order], heads, axis=0)
+
+
+def gradient(rows, u, near, q, x, y, use):
+    """Mean loss over the positions of `use`; touched symbols and their rows' gradient; the outputs' and the distances' one."""
+    t = rows.take(x, axis=0)
+    source, target = t[..., :SOURCE], t[..., SOURCE:]
+    h, (k, v, query, s, w, o, total) = attended(source, target, near)
+    states, g = h.reshape(-1, WIDTH), gram(u, q)
+    hg = states @ g
+    z = np.maximum(_dot(hg, states), 1e-20)
+    out = u.take(y.ravel(), axis=0)
+    r = _dot(out, states)
+    m = r * r / z
+    f = (1 - FLOOR) * m + FLOOR
+    on = use.ravel().astype(np.float32)
+    n = max(float(on.sum()), 1.0)
+    dm = on * (-(1 - FLOOR) / n) / f
+    dr, dz = (2 * dm * r / z)[:, None], (-dm * m / z)[:, None]
+    dh = dr * out
+    dh += (2 * dz) * hg
+    du = (2 * q[:, None]) * (u @ (states.T @ (dz * states)))
+    own, sums = _by_symbol(y.ravel(), dr * states)
+    du[own] += sums
+    dh = dh.reshape(h.shape)
+    dt = np.empty_like(t)
+    dt[..., SOURCE + KEYS :] = dh
+    do = np.empty_like(v)
+    np.divide(dh, total, out=do[..., :-1])
+    do[..., -1] = -np.einsum("ijk,ijk->ij", do[..., :-1], o)
+    ds = np.matmul(do, v.transpose(0, 2, 1))
+    ds *= s
+    ds *= 2
+    dt[..., KEYS:SOURCE] = np.matmul(w.transpose(0, 2, 1), do)
+    dt[..., SOURCE - 1] = 0
+    dt[..., SOURCE : SOURCE + KEYS] = np.matmul(ds, k)
+    dt[..., :KEYS] = np.matmul(ds.transpose(0, 2, 1), query)
+    far = np.bincount(_FAR.ravel(), weights=ds.sum(axis=0).ravel(), minlength=LENGTH).astype(np.float32)
+    touched, drows = _by_symbol(x.ravel(), dt.reshape(len(x) * x.shape[1], -1))
+    return -float((np.log(f) * on).sum()) / n, touched, drows, du, far
+
+
+class Fit:
+    """Weights that go on by Adagrad; the sums of squares go along with them."""
+
+    def __init__(self, flat: np.ndarray, squares: np.ndarray, q: np.ndarray):
+        self.flat, self.squares, self.q = flat.copy(), squares.copy(), q
+        self.now, self.past = unpack(self.flat, len(q)), unpack(self.squares, len(q))
+
+    def step(self, x: np.ndarray, y: np.ndarray, use: np.ndarray, rate: float) -> float:
+        loss, touched, drows, du, far = gradient(*self.now, self.q, x, y, use)
+        past = self.past[0][touched] + drows * drows
+        self.past[0][touched] = past
+        self.now[0][touched] -= rate * drows / (np.sqrt(past) + 1e-8)
+        for w, p, d in zip(self.now[1:], self.past[1:], (du, far), strict=True):
+            p += d * d
+            w -= rate * d / (np.sqrt(p) + 1e-8)
+        return loss
+
+
+def windows_of(symbols: np.ndarray, stride: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """Windows of LENGTH + 1 symbols of a text that ends with `end`, and which of the last `stride` are the text's.
+
+    Before the text stand ends, so that its first token has LENGTH - STRIDE of them before it, or one if all positions count.
+    """
+    n, before = len(symbols), LENGTH - STRIDE + 1
+    length = max(n + before, LENGTH + 1)
+    blocks = -(-(length - LENGTH - 1) // stride) + 1
+    padded = np.full((blocks - 1) * stride + LENGTH + 1, end, symbols.dtype)
+    padded[before : before + n] = symbols
+    view = np.lib.stride_tricks.sliding_window_view(padded, LENGTH + 1)[::stride]
+    real = np.zeros(len(padded), bool)
+    real[before : before + n] = True
+    return view, np.lib.stride_tricks.sliding_window_view(real, LENGTH + 1)[::stride, -stride:]
 
 
 # ---- over a table --------------------------------------------------------------------------------
@@ -204,61 +218,56 @@ def scores(docs: DataFrame, tokenizer: str) -> DataFrame:
     """One row for each row of `docs`: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Learns from rows that are not held out. Words: between ASCII white space, A-Z in lower case, then one end.
-    base_score: their log10 probabilities by counts plus one; score: their log10 probabilities and the end's by the
-    model, mixed from subwords and counts of words. Null or empty text: the end alone. Null doc_id: held out. Repeated rows: counted and scored each.
-    A table without training rows: counts are none and the model is even. An empty table: no rows.
+    base_score: their log10 probabilities by counts plus one; score: the log10 probability, by the model, of the
+    text's subwords and its end. Null or empty text: the end alone. Null doc_id: held out. Repeated rows: counted and
+    scored each; copies of one row with one id are fitted to by one task. Very long texts: whole. A table without
+    training rows: counts are none and the model is even. An empty table: no rows.
     """
     spark = docs.sparkSession
     sc = spark.sparkContext
     base = shared_dir(spark)
     rows = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-
-    # Every text with its subwords; and what is counted over the training texts: words by hash, subwords, windows to fit to.
-    kinds = pa.schema([("hash", pa.int64()), ("n", pa.int64()), ("part", pa.int32()), ("numbers", pa.binary()), ("window", pa.binary()), ("doc_id", pa.int64()), ("text", pa.binary()), ("ids", pa.binary()), ("sizes", pa.binary())])
+    kinds = pa.schema([("hash", pa.int64()), ("n", pa.int64()), ("part", pa.int32()), ("numbers", pa.binary()), ("doc_id", pa.int64()), ("text", pa.binary()), ("ids", pa.binary())])
 
     def filled(k: int, **own: pa.Array) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([own.get(f.name, pa.nulls(k, f.type)) for f in kinds], schema=kinds)
 
+    # Every text with its subwords; and what is counted over the training texts: words by hash, subwords.
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_heap()
         words, n_docs = word_ids(tokenizer), 0
-        sub, counts, each = np.zeros(words.size, np.int64), {}, np.dtype(words.dtype).itemsize
+        sub, counts = np.zeros(words.size, np.int64), np.zeros(0, np.int64)
 
         def counted() -> pa.RecordBatch:
-            return filled(len(counts), hash=pa.array(np.fromiter(map(xxh3_64_intdigest, counts), np.uint64, len(counts)).view(np.int64)), n=pa.array(list(counts.values()), pa.int64()))
+            of = np.flatnonzero(counts)
+            return filled(len(of), hash=pa.array(words.hashes[of].view(np.int64)), n=pa.array(counts[of]))
 
         for batch in batches:
-            kept, read, all_ids, all_sizes = [], [], [], []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                own = lower_words(text)
-                pieces = list(map(words.__getitem__, own))
-                all_ids.append(b"".join(pieces))
-                all_sizes.append((np.fromiter(map(len, pieces), np.int64, len(pieces)) // each).astype("<u4").tobytes())
-                if held_out(doc_id):
-                    continue
-                n_docs += 1
-                for w in own:
-                    counts[w] = counts.get(w, 0) + 1
-                ids = np.frombuffer(all_ids[-1], words.dtype)
-                read.append(ids)
-                view, _ = windows_of(np.append(ids.astype("<i4"), np.int32(-1)), -1)
-                kept += [x.tobytes() for x in view]
-                if len(kept) >= SOME:
-                    yield filled(len(kept), window=pa.array(kept, pa.binary()))
-                    kept = []
-            yield filled(batch.num_rows, doc_id=batch.column("doc_id"), text=pa.array(batch.column("text").to_pylist(), pa.binary()), ids=pa.array(all_ids, pa.binary()), sizes=pa.array(all_sizes, pa.binary()))
-            if read:
-                sub += np.bincount(np.concatenate(read), minlength=words.size)
-            if kept:
-                yield filled(len(kept), window=pa.array(kept, pa.binary()))
-            if len(counts) > 400_000:
-                yield counted()
-                counts.clear()
-        if counts:
+            for part in slices(batch, "text"):
+                if words.full():
+                    yield counted()
+                    words.anew()
+                    counts = np.zeros(0, np.int64)
+                doc_ids, texts = part.column("doc_id").to_pylist(), part.column("text").to_pylist()
+                own = [t.lower().split() if t else [] for t in texts]
+                ends = np.cumsum([len(w) for w in own])
+                numbers = words.numbers([w for x in own for w in x])
+                ids, n = words.ids_of(numbers)
+                at = np.append(0, np.cumsum(n))[np.append(0, ends)].tolist()
+                train = [not held_out(i) for i in doc_ids]
+                n_docs += sum(train)
+                used = np.repeat(train, np.diff(ends, prepend=0))
+                more = np.bincount(numbers[used], minlength=len(counts))
+                more[: len(counts)] += counts
+                counts = more
+                sub += np.bincount(ids[np.repeat(used, n)], minlength=words.size)
+                yield filled(part.num_rows, doc_id=part.column("doc_id"), text=part.column("text"), ids=pa.array([ids[a:b].tobytes() for a, b in zip(at, at[1:], strict=False)], pa.binary()))
+        if counts.any():
             yield counted()
         numbers = array_rows(np.append(sub, n_docs), SPAN)
         yield filled(len(numbers), part=numbers.column("part"), numbers=numbers.column("numbers"))
 
-    gathered = stored(rows.mapInArrow(gather, "hash long, n long, part int, numbers binary, window binary, doc_id long, text binary, ids binary, sizes binary"), f"{base}/gathered")
+    gathered = stored(rows.mapInArrow(gather, "hash long, n long, part int, numbers binary, doc_id long, text binary, ids binary"), f"{base}/gathered")
     size, dtype = word_ids(tokenizer).size, word_ids(tokenizer).dtype
     sub = array_sum(gathered.where("part is not null").select("part", "numbers"), size + 1, SPAN, "int64")
     sub, n_docs = sub[:-1], int(sub[-1])
@@ -267,42 +276,10 @@ def scores(docs: DataFrame, tokenizer: str) -> DataFrame:
     n_train, v_train = n_words + n_docs, distinct + (n_docs > 0)
     tidy(spark)
 
-    order = np.argsort(-sub, kind="stable")[:FREQUENT]
-    symbol = np.full(size + 1, RARE, np.int32)
-    symbol[order] = np.arange(len(order))
-    symbol[-1] = END  # an id of -1
-    of_symbol = np.zeros(SYMBOLS)
-    of_symbol[: len(order)] = sub[order]
-    rest = sub.astype(np.float64)
-    rest[order] = 0
-    of_symbol[RARE], of_symbol[END] = rest.sum(), n_docs
-    rare = np.log((rest + 1) / (rest + 1)[np.setdiff1d(np.arange(size), order)].sum()) if size > len(order) else np.zeros(size)
-    rare[order] = 0
-    flat = started(of_symbol)
-
-    windows = gathered.where("window is not null").select("window")
-    shares = max(1, windows.count() // (BATCH * STEPS))
-    for round_ in range(ROUNDS):
-        now = sc.broadcast(flat)
-        step = STEP / (1 + round_)
-
-        def fit(batches: Iterator[pa.RecordBatch], now=now, step=step) -> Iterator[pa.RecordBatch]:
-            w, n, own, on = now.value, 0, [], []
-            for batch in batches:
-                x = np.frombuffer(b"".join(batch.column("window").to_pylist()), "<i4").reshape(-1, LENGTH + 1)
-                x = symbol[x]
-                real = ~((x[:, -STRIDE:] == END) & (x[:, -STRIDE - 1 : -1] == END))
-                real[:, 0] = True
-                own.append(x), on.append(real)
-                n += len(x)
-            if n:
-                order = np.random.default_rng(n).permutation(n)
-                w = fitted(w, np.concatenate(own)[order], np.concatenate(on)[order], step)
-                yield array_rows(np.append(w.astype(np.float64) * n, n), SPAN)
-
-        total = array_sum(windows.repartition(shares, F.xxhash64("window")).mapInArrow(fit, "part int, numbers binary"), N_WEIGHTS + 1, SPAN, "float64")
-        if total[-1]:
-            flat = (total[:-1] / total[-1]).astype(np.float32)
+    vocabulary = Vocabulary(sub, n_docs)
+    n_tokens = int(sub.sum()) + n_docs
+    out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) == 2
+    flat = fitted(gathered.where(F.col("ids").isNotNull() & F.col("doc_id").isNotNull() & ~out).select("doc_id", "ids"), vocabulary, n_tokens, dtype)
 
     # Scores of whole texts; counts of words that not every task holds come by a join.
     steps = counts.groupBy(F.floor(F.log2("c") * 16).alias("step")).agg(F.count("*").alias("n")).orderBy(F.desc("step")).collect()
@@ -312,80 +289,142 @@ def scores(docs: DataFrame, tokenizer: str) -> DataFrame:
             break
         least = x["step"]
     top = counts.where(F.floor(F.log2("c") * 16) >= (least if least is not None else 1 << 20)).toPandas().sort_values("hash")
-    known = sc.broadcast((top["hash"].to_numpy(np.int64), top["c"].to_numpy(np.int64), flat, symbol, rare))
     whole = distinct <= len(top)
-    end_count, mass = n_docs, max(1, n_train)
+    known = sc.broadcast((top["hash"].to_numpy(np.int64), top["c"].to_numpy(np.int64), flat, vocabulary))
 
     def log_base(c: np.ndarray) -> np.ndarray:
         return np.log10((c + 1) / (n_train + v_train + 1))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, numbers, flat, symbol, rare = known.value
-        w, key = unpack(flat), TaskContext.get().partitionId() << 40
-        schema = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("hash", pa.int64()), ("sub", pa.float64())])
+        keep_heap()
+        hashes, numbers, flat, words = known.value
+        weights, key = unpack(flat, words.n), TaskContext.get().partitionId() << 40
+        g = gram(weights[1], words.q)
+        schema = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("hash", pa.int64())])
         for batch in batches:
-            docs, far = [], [[], [], []]
-            symbols, sizes, often, more, apart = [], [], [], [], []
-            for doc_id, text, ids, n in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "ids", "sizes")), strict=True):
-                own = lower_words(text)
-                h = np.fromiter(map(xxh3_64_intdigest, own), np.uint64, len(own)).view(np.int64)
+            for part in slices(batch, "text", 1 << 19):
+                texts = [t.lower() if t else b"" for t in part.column("text").to_pylist()]
+                own = [bytes_hashes(t).view(np.int64) for t in texts]
+                ends = np.cumsum([len(x) for x in own])
+                h = np.concatenate(own)
                 at = np.minimum(np.searchsorted(hashes, h), max(0, len(hashes) - 1))
                 near = hashes[at] == h if len(hashes) else np.zeros(len(h), bool)
-                total = float(log_base(numbers[at[near]]).sum() + log_base(np.array(end_count)))
-                n_known = int(near.sum()) + (end_count > 0)
-                if whole:
-                    total += float(log_base(np.array(0))) * int((~near).sum())
-                elif not near.all():
-                    far[0].append(np.full(int((~near).sum()), key, np.int64)), far[1].append(h[~near])
-                apart.append(np.append(np.zeros(len(own), bool) if whole else ~near, False))
-                ids = np.frombuffer(ids, dtype)
-                more.append(np.append(rare[ids], 0.0))
-                symbols.append(np.append(symbol[ids], np.int32(END)))
-                sizes.append(np.append(np.frombuffer(n, "<u4"), 1))
-                often.append(np.append(np.where(near, numbers[at], 0) if len(hashes) else np.zeros(len(own)), end_count))
-                docs.append((key, doc_id, len(own) + 1, n_known, total))
-                key += 1
-            model = np.zeros(len(docs))
-            for a, b in _groups([-(-len(x) // STRIDE) for x in symbols], 2048):
-                both = [windows_of(x) for x in symbols[a:b]]
-                view, real = np.concatenate([x[0] for x in both]), np.concatenate([x[1] for x in both])
-                p = np.concatenate([log_probabilities(w, view[k : k + 2048, :-1], view[k : k + 2048, -STRIDE:]) for k in range(0, len(view), 2048)])
-                ends = np.cumsum(np.concatenate(sizes[a:b]))
-                sums = np.append(0.0, np.cumsum(p[real] + np.concatenate(more[a:b])))[np.append(0, ends)]
-                with np.errstate(divide="ignore"):
-                    whole_words = np.log(MIXED * np.concatenate(often[a:b]) / mass)
-                subwords, later = np.log(1 - MIXED) + np.diff(sums), np.concatenate(apart[a:b])
-                far[2].append(subwords[later])
-                each = np.where(later, 0.0, np.logaddexp(subwords, whole_words) / np.log(10))
-                model[a:b] = np.add.reduceat(each, np.cumsum([0, *map(len, sizes[a : b - 1])]))
-            cols = list(zip(*docs, strict=True)) if docs else [[]] * 5
-            yield pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(cols, schema.types[:5], strict=True)), pa.array(model), pa.nulls(len(docs), pa.int64()), pa.nulls(len(docs), pa.float64())], schema=schema)
-            if far[0]:
-                k = sum(map(len, far[0]))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(far[0])), *(pa.nulls(k, t) for t in schema.types[1:6]), pa.array(np.concatenate(far[1])), pa.array(np.concatenate(far[2]))], schema=schema)
-
-    texts = gathered.where("ids is not null").select("doc_id", "text", "ids", "sizes")
-    scored = stored(texts.mapInArrow(score, "key long, doc_id long, n_tokens long, n_known long, base double, score double, hash long, sub double"), f"{base}/scored")
+                each = log_base(np.where(near, numbers[at], 0) if len(hashes) else np.zeros(len(h)))
+                if not whole:
+                    each[~near] = 0
+                before = lambda x, ends=ends: np.diff(np.append(0, np.cumsum(x))[np.append(0, ends)])
+                keys = key + np.arange(len(texts))
+                key += len(texts)
+                model = scored([np.frombuffer(x, dtype) for x in part.column("ids").to_pylist()], weights, g, words)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(keys), part.column("doc_id"), pa.array(np.diff(ends, prepend=0) + 1), pa.array(before(near).astype(np.int64) + (n_docs > 0)),
+                    pa.array(before(each) + log_base(np.array(n_docs))), pa.array(model / np.log(10)), pa.nulls(len(texts), pa.int64()),
+                ], schema=schema)
+                if not whole and not near.all():
+                    k = int((~near).sum())
+                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat(keys, np.diff(ends, prepend=0))[~near]), *(pa.nulls(k, t) for t in schema.types[1:6]), pa.array(h[~near])], schema=schema)
+
+    texts = gathered.where("ids is not null").select("doc_id", "text", "ids")
+    found = stored(texts.mapInArrow(score, "key long, doc_id long, n_tokens long, n_known long, base double, score double, hash long"), f"{base}/scored")
     tidy(spark)
-    more = scored.where("hash is not null").select("key", "hash", "sub").join(counts, "hash", "left")
-    by_word = F.log(F.lit(MIXED) * F.col("c") / F.lit(float(mass)))
-    mixed = F.when(F.col("c").isNull(), F.col("sub")).otherwise(F.greatest("sub", by_word) + F.log1p(F.exp(-F.abs(F.col("sub") - by_word))))
-    more = more.groupBy("key").agg(F.count("c").alias("k"), F.sum(F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(float(n_train + v_train + 1)))).alias("b"), F.sum(mixed / F.lit(float(np.log(10)))).alias("m"))
-    own = scored.where("n_tokens is not null").join(more, "key", "left")
-    out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) == 2
+    more = found.where("hash is not null").groupBy("key", "hash").agg(F.count("*").alias("m")).join(counts, "hash", "left")
+    more = more.groupBy("key").agg(F.sum(F.when(F.col("c").isNotNull(), F.col("m"))).alias("k"), F.sum(F.col("m") * F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(float(n_train + v_train + 1)))).alias("b"))
+    own = found.where("n_tokens is not null").join(more, "key", "left")
     return own.select(
         "doc_id", F.coalesce(out, F.lit(True)).alias("held_out"), "n_tokens", (F.col("n_known") + F.coalesce("k", F.lit(0))).alias("n_known"),
-        F.lit(n_train).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("b", F.lit(0.0))).alias("base_score"), (F.col("score") + F.coalesce("m", F.lit(0.0))).alias("score"),
+        F.lit(n_train).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("b", F.lit(0.0))).alias("base_score"), "score",
     )
 
 
-def _groups(lengths: list[int], most: int) -> Iterator[tuple[int, int]]:
-    """Ranges of documents with about `most` windows together."""
-    a, n = 0, 0
-    for k, x in enumerate(lengths):
-        n += x
-        if n >= most:
-            yield a, k + 1
-            a, n = k + 1, 0
-    if a < len(lengths):
-        yield a, len(lengths)
+def fitted(texts: DataFrame, words: Vocabulary, n_tokens: int, dtype: str) -> np.ndarray:
+    """Weights fitted to all windows of the texts (doc_id, ids)."""
+    sc = texts.sparkSession.sparkContext
+    state = np.concatenate([started(words.n), np.full(size_of(words.n), 1e-6, np.float32)])
+    if not n_tokens:
+        return state[: size_of(words.n)]
+    shares = max(1, round(n_tokens / SHARE))
+    rounds = min(ROUNDS, shares)
+    passes = min(PASSES, max(1, -(-FITTED // n_tokens)))
+    each = n_tokens * passes / shares  # tokens of a share
+    size = size_of(words.n)
+    # Dealt and ordered by what the rows hold, so that files and partitions make no difference.
+    place = F.xxhash64("doc_id", "ids")
+    texts = texts.select("ids", place.alias("place"), F.pmod(place, F.lit(shares)).alias("share"))
+    for round_ in range(rounds):
+        now = sc.broadcast((state, words))
+
+        def fit(batches: Iterator[pa.RecordBatch], now=now, round_=round_) -> Iterator[pa.RecordBatch]:
+            keep_heap()
+            state, words = now.value
+
+            def shared() -> Iterator[tuple[int, list[np.ndarray]]]:
+                for batch in batches:
+                    for part in slices(batch, "ids", 1 << 18):
+                        of = part.column("share").to_pylist()
+                        ids = [np.frombuffer(t, dtype) for t in part.column("ids").to_pylist()]
+                        for share, own in groupby(range(len(of)), of.__getitem__):
+                            yield share, [ids[k] for k in own]
+
+            for _, blocks in groupby(shared(), lambda x: x[0]):
+                blocks = (x for _, x in blocks)
+                model, windows = Fit(state[:size], state[size:], words.q), 0
+                if passes > 1:  # fewer than FITTED tokens in all
+                    blocks = list(blocks) * passes
+                done = 0
+                for x, use in _mixed(blocks, words, round_):
+                    rate = STEP * (1 - 0.9 * (round_ + min(1.0, done / each)) / rounds)
+                    model.step(x[:, :-1], x[:, 1:], use, rate)
+                    done += int(use.sum())
+                    windows += len(x)
+                yield array_rows(np.append(np.concatenate([model.flat, model.squares]) * np.float32(windows), np.float32(windows)), SPAN)
+
+        n = max(1, -(-(shares - round_) // rounds))
+        dealt = texts.where(F.col("share") % rounds == round_).repartition(4 * n, "share").sortWithinPartitions("share", "place")
+        total = array_sum(dealt.select("share", "ids").mapInArrow(fit, "part int, numbers binary"), 2 * size + 1, SPAN, "float32", "float64")
+        if total[-1]:
+            state = (total[:-1] / total[-1]).astype(np.float32)
+        tidy(texts.sparkSession)
+    return state[:size]
+
+
+def _mixed(blocks: Iterator[list[np.ndarray]], words: Vocabulary, seed: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Windows for one step after the other, in random order among MIXED or more."""
+    rng, own = np.random.default_rng(seed), []
+
+    def steps() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        x, use = np.concatenate([x for x, _ in own]), np.concatenate([u for _, u in own])
+        order = rng.permutation(len(x))
+        for a in range(0, len(x), BATCH):
+            yield x[order[a : a + BATCH]], use[order[a : a + BATCH]]
+
+    for texts in blocks:
+        own += [windows_of(words.symbol[np.append(ids.astype(np.int64), -1)].astype(np.int32), LENGTH, words.end) for ids in texts]
+        if sum(len(x) for x, _ in own) >= MIXED:
+            yield from steps()
+            own = []
+    if own:
+        yield from steps()
+
+
+def scored(texts: list[np.ndarray], weights: tuple, g: np.ndarray, words: Vocabulary) -> np.ndarray:
+    """Natural log probability of each text (ids) and its end."""
+    out, group, n = np.zeros(len(texts)), [], 0
+
+    def done() -> None:
+        views = [windows_of(words.symbol[x].astype(np.int32), STRIDE, words.end) for _, x in group]
+        x, use = np.concatenate([v for v, _ in views]), np.concatenate([u for _, u in views])
+        p = np.concatenate([log_probabilities(*weights, g, x[a : a + 256, :-1], x[a : a + 256, -STRIDE:]) for a in range(0, len(x), 256)])
+        each = (p * use).sum(axis=1, dtype=np.float64)
+        sums = np.add.reduceat(each, np.cumsum([0, *(len(v) for v, _ in views[:-1])]))
+        for (k, ids), s in zip(group, sums.tolist(), strict=True):
+            out[k] = s + words.log_q[ids].sum()
+
+    for k, ids in enumerate(texts):
+        group.append((k, np.append(ids.astype(np.int64), -1)))
+        n += len(ids)
+        if n > 1 << 16:
+            done()
+            group, n = [], 0
+    if group:
+        done()
+    return out

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
@@ -9,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -70,6 +72,14 @@ def n_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
+def keep_heap() -> None:
+    """Lets a Python worker keep the memory of numpy's temporaries, which the C library else gives back and asks for again each time."""
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "mallopt"):
+        libc.mallopt(-3, 32 << 20)  # larger blocks only are mapped apart
+        libc.mallopt(-1, 256 << 20)  # kept at the heap's end
+
+
 # ---- words and hashes in numpy -------------------------------------------------------------------
 
 
@@ -77,6 +87,39 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words))
 
 
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Random numbers by place in a word (of 32 in turn) and byte.
+_BYTES = np.random.default_rng(20240607).integers(0, 1 << 64, 32 << 8, np.uint64)
+
+
+def bytes_hashes(text: bytes) -> np.ndarray:
+    """A 64-bit hash for each word between ASCII white space, by tabulation, without a loop over words."""
+    b = np.frombuffer(text + b" ", np.uint8)
+    space = _SPACE[b]
+    ends = np.flatnonzero(space).astype(np.int32)
+    n = np.diff(ends, prepend=np.int32(-1)) - 1
+    # Places count from the white space before.
+    place = np.arange(len(b), dtype=np.int32) - np.repeat(ends - n, n + 1)
+    value = _BYTES.take((place & 31) << 8 | b)
+    if n.max() > 32:
+        far = np.flatnonzero(place > 31)
+        value[far] = mix(value[far] + (place[far] >> 5).astype(np.uint64))
+    value[ends] = 0
+    sums = np.cumsum(value)[ends]
+    return mix(np.diff(sums, prepend=np.uint64(0))[n > 0])
+
+
+def slices(batch: pa.RecordBatch, column: str, most: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of about `most` bytes of a binary column, so that Python holds few of its values at a time."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 16)
+    a = 0
+    while a < batch.num_rows:
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + most)))
+        yield batch.slice(a, b - a)
+        a = b
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers whose results look random."""
     x = x ^ (x >> np.uint64(31))
@@ -158,17 +201,31 @@ def array_rows(x: np.ndarray, span: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array([pack.compress(flat[k * span : (k + 1) * span].tobytes()) for k in parts], pa.binary())], ["part", "numbers"])
 
 
-def array_sum(rows: DataFrame, size: int, span: int, dtype: str) -> np.ndarray:
-    """The sum of all tasks' arrays of `size` numbers. Parts are added apart, one after the other: memory is one array a task."""
+def array_sum(rows: DataFrame, size: int, span: int, dtype: str, into: str | None = None) -> np.ndarray:
+    """The sum of all tasks' arrays of `size` numbers. Parts are added apart, one after the other: memory is one array a task.
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for part, packed in zip(batch.column("part").to_pylist(), batch.column("numbers").to_pylist(), strict=True):
-                total[part] = total.get(part, 0) + np.frombuffer(zstandard.decompress(packed), dtype)
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.astype(dtype).tobytes() for x in total.values()], pa.binary())], ["part", "numbers"])
-
-    out = np.zeros(size, dtype)
-    for part, numbers in rows.repartition(max(1, min(64, -(-size // span))), "part").mapInArrow(add, "part int, numbers binary").collect():
-        out[part * span : (part + 1) * span] = np.frombuffer(numbers, dtype)
+    In two steps, the first over some of the tasks each, so that no task reads what all others have written. into: the
+    sum's type, if it is not that of the arrays.
+    """
+    into = into or dtype
+
+    def add(kind: str):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total: dict[int, np.ndarray] = {}
+            for batch in batches:
+                for part, packed in zip(batch.column("part").to_pylist(), batch.column("numbers"), strict=True):
+                    x = np.frombuffer(zstandard.decompress(packed.as_py()), kind)
+                    total[part] = total[part] + x if part in total else x.astype(into)
+            pack = zstandard.ZstdCompressor(level=1)
+            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([pack.compress(x.tobytes()) for x in total.values()], pa.binary())], ["part", "numbers"])
+
+        return run
+
+    parts = -(-size // span)
+    fan = max(1, round(n_partitions(rows.sparkSession) ** 0.5))
+    some = rows.withColumn("some", F.pmod(F.spark_partition_id(), F.lit(fan))).repartition(max(1, min(64, parts) * fan), "part", "some")
+    some = some.select("part", "numbers").mapInArrow(add(dtype), "part int, numbers binary")
+    out = np.zeros(size, into)
+    for part, numbers in some.repartition(max(1, min(64, parts)), "part").mapInArrow(add(into), "part int, numbers binary").collect():
+        out[part * span : (part + 1) * span] = np.frombuffer(zstandard.decompress(numbers), into)
     return out

@@ -1,8 +1,8 @@
 """Whole texts to ids of a public tokenizer, with what words become remembered.
 
-The tokenizer never joins across white space, so a text's ids are those of its words one after the other. A word is
-looked up first; of the missing ones plain ASCII words are cut by the tokenizer's own pattern and given to its model,
-any other goes through the whole tokenizer.
+The tokenizer never joins across white space, so a text's ids are those of its words one after the other. Words are
+numbered. Of those that are not remembered yet, words of ASCII and Latin-1 letters are cut by the tokenizer's own
+pattern and given to its model; any other goes through the whole tokenizer.
 """
 
 from __future__ import annotations
@@ -12,15 +12,24 @@ import re
 
 import numpy as np
 
-#: What the tokenizer's pattern matches in lower-case ASCII without white space.
-_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
-_ASCII = re.compile(rb"[!-~]+")
+from .common import bytes_hashes
+
 #: Words that are remembered; then it starts anew.
-REMEMBERED = 700_000
+REMEMBERED = 400_000
+#: Words without anything that the tokenizer normalises but for case, and what its pattern cuts there.
+_PLAIN = re.compile("[!-;=-~À-ÖØ-öø-ÿ]+")
+_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+#: The characters that stand for bytes in byte-level vocabularies: printable ones for themselves, others from 256 on.
+_SELF = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_STAND_FOR = {b: b for b in _SELF} | {b: 256 + k for k, b in enumerate(sorted(set(range(256)) - set(_SELF)))}
+
+
+def _room(x: np.ndarray, n: int) -> np.ndarray:
+    return x if n <= len(x) else np.concatenate([x, np.zeros(max(n, 2 * len(x)) - len(x), x.dtype)])
 
 
 class WordIds(dict):
-    """Ids of a lower-case word as little-endian bytes of two or four each."""
+    """Numbers of lower-case words; and by number each word's ids and hash."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -30,32 +39,75 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size()
         self.dtype = "<u2" if self.size <= 1 << 16 else "<u4"
-        self.pieces: dict[str, list[int]] = {}
-        self.plain = '"end_of_word_suffix":"</w>"' in (said := self.tokenizer.to_str()) and '"Lowercase"' in said
+        said = self.tokenizer.to_str()
+        self.plain = '"end_of_word_suffix":"</w>"' in said and '"Lowercase"' in said
+        self.anew()
+
+    def anew(self) -> None:
+        """Forgets all words: their numbers no longer hold."""
+        self.clear()
+        self.asked: list[bytes] = []
+        self.flat, self.starts, self.hashes, self.known = np.empty(1024, self.dtype), np.zeros(1024, np.int64), np.empty(1024, np.uint64), 0
+
+    def full(self) -> bool:
+        return len(self) > REMEMBERED
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def __missing__(self, word: bytes) -> bytes:
-        if self.plain and _ASCII.fullmatch(word) and b"<|" not in word:
+    def __missing__(self, word: bytes) -> int:
+        self.asked.append(word)
+        self[word] = n = len(self)
+        return n
+
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        """The number of each word."""
+        out = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        if self.asked:
+            self._learn()
+        return out
+
+    def _learn(self) -> None:
+        asked, self.asked = self.asked, []
+        pieces: dict[str, list[int]] = {}
+        found = []
+        for word in (w.decode("utf-8", "replace") for w in asked):
+            if not self.plain or not _PLAIN.fullmatch(word):
+                found.append(self._ids(word))
+                continue
             ids = []
-            for p in _PIECES.findall(word.decode()):
-                if (got := self.pieces.get(p)) is None:
-                    if len(self.pieces) > REMEMBERED:
-                        self.pieces.clear()
-                    got = self.pieces[p] = [t.id for t in self.tokenizer.model.tokenize(p)]
+            for p in _PIECES.findall(word.lower()):
+                if (got := pieces.get(p)) is None:
+                    own = p if p.isascii() else p.encode().decode("latin-1").translate(_STAND_FOR)
+                    got = pieces[p] = [t.id for t in self.tokenizer.model.tokenize(own)]
                 ids += got
-        else:
-            ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-        if len(self) > REMEMBERED:
-            self.clear()
-        self[word] = out = np.array(ids, self.dtype).tobytes()
-        return out
+            found.append(ids)
+        new = np.concatenate([np.asarray(x, np.int64) for x in found])
+        n, at = self.known, int(self.starts[self.known])
+        self.flat = _room(self.flat, at + len(new))
+        self.starts = _room(self.starts, n + len(asked) + 1)
+        self.hashes = _room(self.hashes, n + len(asked))
+        self.flat[at : at + len(new)] = new
+        self.starts[n + 1 : n + len(asked) + 1] = at + np.cumsum([len(x) for x in found])
+        self.hashes[n : n + len(asked)] = bytes_hashes(b" ".join(asked))
+        self.known += len(asked)
+
+    def ids_of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words by number, one after the other; and how many each has."""
+        starts = self.starts[numbers]
+        n = self.starts[numbers + 1] - starts
+        ends = np.cumsum(n)
+        return self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + n, n)], n
 
     def text(self, text: bytes | None) -> bytes:
         """Ids of a whole text; null: none."""
         if not text:
             return b""
-        if b"<|" in text:  # may hold special tokens, which are not lower-cased
-            return np.array(self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, self.dtype).tobytes()
-        return b"".join(map(self.__getitem__, text.lower().split()))
+        if b"<" in text or b"\xcc" in text or b"\xcd" in text:  # special tokens are not lower-cased; marks join their letter first
+            return np.array(self._ids(text.decode("utf-8", "replace")), self.dtype).tobytes()
+        if self.full():
+            self.anew()
+        return self.ids_of(self.numbers(text.lower().split()))[0].tobytes()
 
 
 _OPEN: dict[str, WordIds] = {}

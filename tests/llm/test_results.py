@@ -269,25 +269,76 @@ def test_language_model(spark, texts):
         assert math.isclose(r["base_score"], sum(math.log10((c[x] + 1) / (n + v + 1)) for x in w), rel_tol=1e-9)
 
 
+def small_model(seed=0, size=60):
+    rng = np.random.default_rng(seed)
+    counts = rng.integers(1, 30, size)
+    counts[-12:] = 0
+    words = attention_lm.Vocabulary(counts, 5)
+    flat = attention_lm.started(words.n).astype(np.float64)
+    rows, u, near = attention_lm.unpack(flat, words.n)
+    rows += 0.1 * rng.standard_normal(rows.shape)
+    u += 0.1 * rng.standard_normal(u.shape)
+    rows[:, attention_lm.SOURCE - 1] = 1
+    return rng, words, flat
+
+
 def test_model_is_a_distribution_and_causal():
-    rng = np.random.default_rng(0)
-    flat = attention_lm.started(rng.integers(0, 9, attention_lm.SYMBOLS)) + rng.standard_normal(attention_lm.N_WEIGHTS).astype(np.float32) * 0.1
-    w = attention_lm.unpack(flat)
-    x = rng.integers(0, attention_lm.SYMBOLS, (1, attention_lm.LENGTH))
-    y = rng.integers(0, attention_lm.SYMBOLS, (1, attention_lm.STRIDE))
-    total = sum(np.exp(attention_lm.log_probabilities(w, x, np.full_like(y, s))) for s in range(attention_lm.SYMBOLS))
-    assert np.allclose(total, 1, atol=1e-3)
+    rng, words, flat = small_model()
+    rows, u, near = attention_lm.unpack(flat, words.n)
+    g = attention_lm.gram(u, words.q.astype(np.float64))
+    x = rng.integers(0, words.n, (1, attention_lm.LENGTH))
+    y = rng.integers(0, words.n, (1, attention_lm.STRIDE))
+    p = lambda x, y: attention_lm.log_probabilities(rows, u, near, g, x, y)
+    # Over all subwords, each with its own share of q, and the end.
+    total = sum(np.exp(p(x, np.full_like(y, words.symbol[k]))) * math.exp(words.log_q[k]) for k in range(len(words.log_q)))
+    assert np.allclose(total, 1, atol=1e-5)
     later = x.copy()
-    later[0, -1] = (later[0, -1] + 1) % attention_lm.SYMBOLS
-    a, b = attention_lm.log_probabilities(w, x, y), attention_lm.log_probabilities(w, later, y)
-    assert np.allclose(a[0, :-1], b[0, :-1], atol=1e-5) and not np.allclose(a[0, -1], b[0, -1])
-    use = np.ones((1, attention_lm.STRIDE), bool)
-    _, g = attention_lm.gradient(flat, x, y, use)
-    for k in np.argsort(-np.abs(g))[:25]:
+    later[0, -1] = (later[0, -1] + 1) % words.n
+    assert np.allclose(p(x, y)[0, :-1], p(later, y)[0, :-1], atol=1e-9) and not np.allclose(p(x, y)[0, -1], p(later, y)[0, -1])
+
+
+def test_gradient_by_differences():
+    rng, words, flat = small_model()
+    x, y = (rng.integers(0, words.n, (3, attention_lm.LENGTH)) for _ in range(2))
+    use, q = rng.random(x.shape) < 0.8, words.q.astype(np.float64)
+    loss = lambda f: attention_lm.gradient(*attention_lm.unpack(f, words.n), q, x, y, use)
+    _, touched, drows, du, far = loss(flat)
+    g = np.zeros_like(flat)
+    own = attention_lm.unpack(g, words.n)
+    own[0][touched] += drows
+    own[1][:], own[2][:] = du, far
+    for k in [*np.argsort(-np.abs(g))[:20], *rng.integers(0, len(g), 20)]:
+        if k < own[0].size and k % own[0].shape[1] == attention_lm.SOURCE - 1:
+            continue  # the column of ones stays
         step = np.zeros_like(flat)
-        step[k] = 1e-2
-        up, down = (attention_lm.gradient(flat + s * step, x, y, use)[0] for s in (1, -1))
-        assert math.isclose((up - down) / 2e-2, g[k], rel_tol=0.1, abs_tol=2e-3)
+        step[k] = 1e-4
+        assert math.isclose((loss(flat + step)[0] - loss(flat - step)[0]) / 2e-4, g[k], rel_tol=1e-3, abs_tol=1e-6)
+
+
+def test_whole_texts_against_one_position_at_a_time():
+    """Scores of texts against a plain loop over positions and the positions that each may see."""
+    rng, words, flat = small_model()
+    rows, u, near = attention_lm.unpack(flat, words.n)
+    texts = [rng.integers(0, 60, n) for n in (0, 1, 15, 16, 17, 40, 100)]
+    q = np.exp(words.log_q)
+    g = sum(q[k] * np.outer(u[words.symbol[k]], u[words.symbol[k]]) for k in range(len(q)))
+    d, e = attention_lm.KEYS, attention_lm.SOURCE
+    want = []
+    for ids in texts:
+        y = [*words.symbol[ids], words.end]
+        x = [words.end] * (attention_lm.LENGTH - attention_lm.STRIDE + 1) + y[:-1]
+        total = 0.0
+        for t, (symbol, k) in enumerate(zip(y, [*ids, len(q) - 1])):
+            at = t + attention_lm.LENGTH - attention_lm.STRIDE
+            first = t // attention_lm.STRIDE * attention_lm.STRIDE
+            a = [(rows[x[at], e : e + d] @ rows[x[j], :d] + near[at - j]) ** 2 for j in range(first, at + 1)]
+            o = sum(w * rows[x[j], d : e - 1] for w, j in zip(a, range(first, at + 1))) / (sum(a) + 1e-6)
+            h = rows[x[at], e + d :] + o
+            m = (u[symbol] @ h) ** 2 / (h @ g @ h)
+            total += math.log(q[k] * ((1 - attention_lm.FLOOR) * m + attention_lm.FLOOR))
+        want.append(total)
+    got = attention_lm.scored(texts, (rows, u, near), attention_lm.gram(u, words.q.astype(np.float64)), words)
+    assert np.allclose(got, want, rtol=1e-5)
 
 
 def test_pipeline(spark, texts):

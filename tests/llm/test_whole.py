@@ -5,8 +5,10 @@ import random
 import numpy as np
 import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
 from lectern.llm import attention_lm, ngram_join, passages
+from lectern.llm.common import bytes_hashes
 from lectern.llm.tokens import word_ids
 
 
@@ -56,29 +58,49 @@ TOKENS = public_tokenizers.path("word_bpe_49k.json")
 
 
 def test_model_is_fitted_to_all_windows(spark, monkeypatch):
-    """More windows than a task once took whole."""
-    text = " ".join(f"word{k % 977}x{k % 31}" for k in range(6_000))
-    df = spark.createDataFrame([(k, text) for k in range(15) if not attention_lm.held_out(k)], "doc_id long, text string").coalesce(1)
-    per_word, fitted, add = word_ids(TOKENS), [], attention_lm.array_sum
-
-    def seen(rows, size, span, dtype):
-        out = add(rows, size, span, dtype)
-        if size == attention_lm.N_WEIGHTS + 1:
-            fitted.append(int(out[-1]))
+    """All tokens of all shares of all rounds count once, however the rows lie."""
+    rng = random.Random(4)
+    rows = [(k, " ".join(rng.choice(["the", "of", f"name{rng.randrange(40)}", "Überzug"]) for _ in range(rng.randrange(300)))) for k in range(150)]
+    train = [t for k, t in rows if not attention_lm.held_out(k)]
+    words, want = word_ids(TOKENS), 0
+    for t in train:
+        n = len(words.text(t.encode())) // np.dtype(words.dtype).itemsize + 1
+        want += -(-max(n + 17 - 33, 0) // attention_lm.LENGTH) + 1
+    monkeypatch.setattr(attention_lm, "SHARE", 1_000)
+    monkeypatch.setattr(attention_lm, "FITTED", 0)
+    add, windows, states = attention_lm.array_sum, [], []
+
+    def seen(rows, size, span, dtype, into=None):
+        out = add(rows, size, span, dtype, into)
+        if into:
+            windows.append(int(out[-1]))
+            states.append(out)
         return out
 
     monkeypatch.setattr(attention_lm, "array_sum", seen)
-    monkeypatch.setattr(attention_lm, "ROUNDS", 1)
-    n = sum(len(per_word[w]) for w in text.encode().split()) // np.dtype(per_word.dtype).itemsize + 1
-    attention_lm.scores(df, TOKENS)
-    assert fitted == [df.count() * -(-n // attention_lm.STRIDE)] and fitted[0] > 10_000
-
-
-def test_words_of_the_join_are_mixed_too(spark, monkeypatch):
-    """The score is the same whether a word's count stands with each task or comes by the join."""
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    one = {r["doc_id"]: r["score"] for r in attention_lm.scores(df.coalesce(1), TOKENS).collect()}
+    assert len(windows) == attention_lm.ROUNDS and sum(windows) == want
+    two = {r["doc_id"]: r["score"] for r in attention_lm.scores(df.repartition(7).sortWithinPartitions("text"), TOKENS).collect()}
+    assert all(np.isclose(one[k], two[k], rtol=1e-4) for k in one)
+
+
+def test_model_learns_what_words_alone_do_not_tell(spark):
+    """Texts in which each word fixes the next one, in two languages: held-out texts are likelier than by their words' counts."""
+    rng, rows = random.Random(8), []
+    for k in range(300):
+        names = [f"{'abcdefgh'[j]}{'xy'[k % 2]}" for j in range(8)]
+        at = rng.randrange(8)
+        rows.append((k, " ".join(names[(at + j * (1 + k % 2 * 2)) % 8] for j in range(60))))
+    got = [r for r in attention_lm.scores(spark.createDataFrame(rows, "doc_id long, text string"), TOKENS).collect() if r["held_out"]]
+    assert sum(r["score"] for r in got) > 0.5 * sum(r["base_score"] for r in got)
+
+
+def test_counts_by_the_join_are_the_same(spark, monkeypatch):
+    """The base score is the same whether a word's count stands with each task or comes by the join."""
     rng = random.Random(5)
     df = spark.createDataFrame([(k, " ".join(rng.choice(["the", "of", f"name{rng.randrange(40)}", "Überzug", f"odd{k}"]) for _ in range(60))) for k in range(40)] + [(99, None), (98, "")], "doc_id long, text string")
-    monkeypatch.setattr(attention_lm, "ROUNDS", 0)
+    monkeypatch.setattr(attention_lm, "PASSES", 1)
     rows = [attention_lm.scores(df, TOKENS).collect()]
     monkeypatch.setattr(attention_lm, "KNOWN", 3)
     rows.append(attention_lm.scores(df, TOKENS).collect())
@@ -87,6 +109,23 @@ def test_words_of_the_join_are_mixed_too(spark, monkeypatch):
         assert one[k]["n_known"] == two[k]["n_known"] and np.isclose(one[k]["base_score"], two[k]["base_score"]) and np.isclose(one[k]["score"], two[k]["score"])
 
 
+def test_hashes_of_words():
+    """Tabulated hashes tell words apart, long ones too, and do not depend on what stands around them."""
+    words = [f"w{k}".encode() for k in range(3000)] + [b"x" * k for k in range(1, 200)] + [b"y" * 32 + b"x" * k for k in range(1, 50)]
+    one = bytes_hashes(b"  " + b" \t".join(words) + b"\n")
+    assert len(one) == len(words) == len(set(one.tolist())) and not len(bytes_hashes(b"")) and not len(bytes_hashes(b" \n"))
+    assert (bytes_hashes(b" ".join(words[::-1]))[::-1] == one).all()
+
+
+def test_ids_are_the_tokenizers():
+    rng, t = random.Random(9), Tokenizer.from_file(TOKENS)
+    alphabet = [*map(chr, [*range(32, 127), *range(0xA0, 0x250), *range(0x300, 0x330), *range(0x370, 0x400), 0x1F600, 0x4E00, 0xAC00]), " ", " ", "\n"]
+    words = word_ids(TOKENS)
+    for _ in range(3000):
+        text = "".join(rng.choice(alphabet) for _ in range(rng.randrange(30)))
+        assert np.frombuffer(words.text(text.encode()), words.dtype).tolist() == t.encode(text, add_special_tokens=False).ids, text
+
+
 def test_all_links_are_counted(spark):
     """Groups in which every text is near every other one, and chains."""
     rng, own = random.Random(6), []
