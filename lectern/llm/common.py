@@ -14,7 +14,6 @@ import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from xxhash import xxh3_64_intdigest
 
 #: ASCII white space, as a Java and Python pattern; what lies between are words.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -83,10 +82,6 @@ def keep_heap() -> None:
 # ---- words and hashes in numpy -------------------------------------------------------------------
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words))
-
-
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 #: Random numbers by place in a word (of 32 in turn) and byte.
@@ -140,6 +135,11 @@ def shingle_hashes(h: np.ndarray, width: int) -> np.ndarray:
     return mix(out)
 
 
+def text_shingles(text: bytes | None, width: int) -> np.ndarray:
+    """Hashes of the runs of `width` words of UTF-8 text, A-Z in lower case, as shingle_hashes."""
+    return shingle_hashes(bytes_hashes(text.lower()), width) if text else np.empty(0, np.uint64)
+
+
 def lower_words(text: bytes | None) -> list[bytes]:
     """Words of UTF-8 text between ASCII white space, A-Z in lower case."""
     return text.lower().split() if text else []

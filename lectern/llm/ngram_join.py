@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import components, lower_words, mix, n_partitions, shared_dir, shingle_hashes, stored, tidy, word_hashes
+from .common import components, drop_dir, keep_heap, mix, n_partitions, shared_dir, slices, stored, text_shingles, tidy
 
 #: Hashed counters of tokens, in parts that are summed apart. 4 MB as levels, whatever the corpus.
 COUNTERS, PART = 1 << 22, 1 << 18
@@ -45,7 +45,7 @@ SEEN = 500_000
 
 def grams(text: bytes | None, width: int) -> np.ndarray:
     """Sorted hashes of the distinct n-grams of a text; with fewer words the whole sequence is one."""
-    return np.unique(shingle_hashes(word_hashes(lower_words(text)), width))
+    return np.unique(text_shingles(text, width))
 
 
 def node_of(g: np.ndarray) -> int:
