@@ -21,7 +21,7 @@ from .common import ranked, shared_dir, stored
 
 #: Messages of a rendered part; longer conversations come in several.
 PART = 256
-#: Characters that a passage needs to be looked for.
+#: Characters that a paragraph or line needs to be looked for; whole messages and quotations need none.
 SHORTEST = 8
 _QUOTED = re.compile(r"((?:[ \t]*>)+)[ \t]?(.*)", re.S)
 _SAYS = re.compile(r"[^\n]{0,200}\b(?:wrote|schrieb|écrit|escribió)\s*:\s*")
@@ -50,9 +50,9 @@ def normal(passage: str) -> str:
     return " ".join(passage.casefold().split())
 
 
-def _hash(passage: str) -> int | None:
+def _hash(passage: str, least: int = SHORTEST) -> int | None:
     x = normal(passage)
-    return int(np.uint64(xxh3_64_intdigest(x)).view(np.int64)) if len(x) >= SHORTEST else None
+    return int(np.uint64(xxh3_64_intdigest(x)).view(np.int64)) if len(x) >= least else None
 
 
 def passages(text: str) -> list[tuple[int, int]]:
@@ -60,7 +60,7 @@ def passages(text: str) -> list[tuple[int, int]]:
     found: dict[int, int] = {}
     for rank, parts in enumerate(([text], re.split(r"\n\s*\n", text), text.split("\n"))):
         for x in parts:
-            if (h := _hash(x)) is not None:
+            if (h := _hash(x, SHORTEST if rank else 1)) is not None:
                 found.setdefault(h, rank)
     return [(r, h) for h, r in found.items()]
 
@@ -82,8 +82,9 @@ def linked(messages: DataFrame) -> DataFrame:
     quoted: whether the parent comes from a quotation, else it is the turn before. position: from 0, by (turn of the
     parent, turn), which puts every message after its parent and replies to one message next to each other. Ties by
     role and text. Null conv_id: one conversation of its own. Null turn: before all others. Null role: user. Null
-    text: empty. A quotation that nothing earlier holds: dropped, without a link. Repeated rows: kept. Other columns
-    are ignored.
+    text: empty. A quotation that nothing earlier holds: dropped, without a link; so is a part of one, paragraph or
+    line, of fewer than SHORTEST characters, while a whole message that is quoted as a whole may have any length.
+    Repeated rows: kept. Very long texts: whole. Other columns are ignored.
 
     No step needs a conversation in one task: neighbours and positions come from ranks over the whole table, and
     quotations are joined to originals by conversation and hash.

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -26,11 +27,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder in the one that all executors share: spark.checkpoint.dir, or in tests a local one set here."""
+    """A new folder in the one that all executors share: spark.checkpoint.dir, or in local mode one set here."""
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         known = sc._jsc.sc().getCheckpointDir()
+        if not known.isDefined() and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = known.get() if known.isDefined() else f"file://{tempfile.mkdtemp(prefix='lectern-')}"
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(base)

@@ -11,6 +11,7 @@ subsequence with the item, weight of what is in common, and the item's answer.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from .common import array_rows, array_sum, shared_dir, tidy
+from .common import array_rows, array_sum, keep_heap, shared_dir, tidy
 
 #: Words of a segment; passages are 2, 4, 8 ... segments, one beginning at each segment. Hashed features of other words.
 SEGMENT, OTHERS = 16, 4096
@@ -27,7 +28,7 @@ RANK, MIXTURES, SEED = 16, 64, 20240501
 #: Cosine from which a passage is checked. Share of an item's words that the common subsequence must have, without
 #: and with its answer; share of its weight; share of the answer's words.
 COSINE, COMMON, COMMON_ANSWER, HEAVY, ANSWER = 0.5, 0.8, 0.6, 0.6, 0.75
-#: The benchmark is the query set, which each task holds.
+#: The benchmark is the query set, which each task holds, in blocks of about as many items at most.
 MOST_ITEMS = 200_000
 #: Numbers of an array in one row.
 SPAN = 1 << 16
@@ -186,14 +187,20 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, first_word, end_word, common, weight, answer: a row for each document and item that leaks into it.
 
     Words count without ASCII punctuation and case. Null or empty texts, of documents or items: no rows. Null item_id:
-    left out. Repeated rows: rows for each. An item of fewer than eight words must be found whole. A benchmark over
-    MOST_ITEMS is refused. Only sums whose size the benchmark's vocabulary gives reach the driver.
+    left out. Repeated rows: rows for each. An item of fewer than eight words must be found whole. Very long texts:
+    whole. More items than MOST_ITEMS are searched for in blocks, one after the other. Only sums whose size a block's
+    vocabulary gives reach the driver.
     """
+    items = benchmark.select("item_id", F.col("text").cast("binary").alias("text")).where("item_id is not null and text is not null")
+    if (blocks := -(-items.count() // MOST_ITEMS)) <= 1:
+        return _leaks(docs, items)
+    return reduce(DataFrame.unionByName, [_leaks(docs, items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(2 * blocks)) == k)) for k in range(2 * blocks)])
+
+
+def _leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     schema = "doc_id long, item_id long, first_word long, end_word long, common double, weight double, answer double"
-    rows = benchmark.select("item_id", F.col("text").cast("binary")).where("item_id is not null and text is not null").limit(MOST_ITEMS + 1).collect()
-    if len(rows) > MOST_ITEMS:
-        raise ValueError(f"a benchmark of more than {MOST_ITEMS} items must be given in blocks")
+    rows = items.collect()  # a block
     bench = Benchmark([(i, bytes(t)) for i, t in rows])
     if not bench.items:
         return spark.createDataFrame([], schema)
@@ -210,6 +217,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     stored = spark.read.schema("doc_id long, features binary").parquet(at)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_heap()
         n, total = np.zeros(size + 1, np.float64), 0
         for ids in _blocks(batches):
             own = np.sort(np.minimum(ids, size).reshape(-1, 2 * SEGMENT), axis=1)
@@ -228,6 +236,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     first = spark.sparkContext.broadcast((np.vstack([start, np.zeros((1, rank))]) * weights[:, None]).astype(np.float32))
 
     def back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_heap()
         z = np.zeros((size + 1, rank))
         for ids in _blocks(batches):
             y = _sums(first.value, ids, 2 * SEGMENT)
@@ -240,12 +249,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     z = array_sum(stored.select("features").mapInArrow(back, numbers), size * rank, SPAN, "float64").reshape(size, rank) * idf[:, None]
     # Items are rare among the passages, so that the largest directions alone hardly tell them apart.
-    items = np.array([np.bincount(x, minlength=size) * idf for x in bench.items]) if len(bench.items) <= MIXTURES else _mixtures(bench, idf)
-    basis = np.linalg.qr(np.hstack([z, items.T / np.linalg.norm(items, axis=1)]))[0]
+    items = _mixtures(bench, idf)
+    basis = np.linalg.qr(np.hstack([z, items.T / np.maximum(np.linalg.norm(items, axis=1), 1e-12)]))[0]
     rank = basis.shape[1]
     second = spark.sparkContext.broadcast((np.vstack([basis, np.zeros((1, rank))]) * weights[:, None]).astype(np.float32))
 
     def gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_heap()
         g = np.zeros((rank, rank))
         for ids in _blocks(batches):
             y = _sums(second.value, ids, 2 * SEGMENT)

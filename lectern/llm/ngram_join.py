@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import components, drop_dir, keep_heap, mix, n_partitions, shared_dir, slices, stored, text_shingles, tidy
+from .common import components, drop_dir, fresh, keep_heap, mix, n_partitions, shared_dir, slices, stored, text_shingles, tidy
 
 #: Hashed counters of tokens, in parts that are summed apart. 4 MB as levels, whatever the corpus.
 COUNTERS, PART = 1 << 22, 1 << 18
@@ -105,7 +105,7 @@ def _columns(batch: pa.RecordBatch, *names: str):
     return zip(*(batch.column(n).to_pylist() for n in names), strict=True)
 
 
-_MEASURED = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), *((f"m{k}", pa.int64()) for k in range(4)), ("part", pa.int32()), ("counts", pa.binary())])
+_MEASURED = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), *((f"m{k}", pa.int64()) for k in range(4)), ("part", pa.int32()), ("counts", pa.binary())])
 
 
 def _measure(width: int):
@@ -113,9 +113,10 @@ def _measure(width: int):
         return pa.RecordBatch.from_arrays([own.get(f.name, pa.nulls(rows, f.type)) for f in _MEASURED], schema=_MEASURED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_heap()
         counts = np.zeros(COUNTERS, np.int64)
         any_rows = False
-        for batch in batches:
+        for batch in (x for b in batches for x in slices(b, "text")):
             sizes, nodes, marks = [], [], []
             for (text,) in _columns(batch, "text"):
                 g = grams(text, width)
@@ -123,7 +124,7 @@ def _measure(width: int):
                 sizes.append(len(g)), nodes.append(node_of(g) if len(g) else None), marks.append(marks_of(g))
             if sizes:
                 any_rows = True
-                yield filled(len(sizes), doc_id=batch.column("doc_id"), n=pa.array(sizes, pa.int64()), node=pa.array(nodes, pa.int64()), **{f"m{k}": pa.array(x) for k, x in enumerate(np.array(marks).T.copy())})
+                yield filled(len(sizes), doc_id=batch.column("doc_id"), text_hash=batch.column("text_hash"), n=pa.array(sizes, pa.int64()), node=pa.array(nodes, pa.int64()), **{f"m{k}": pa.array(x) for k, x in enumerate(np.array(marks).T.copy())})
         if any_rows:
             pack = zstandard.ZstdCompressor(level=1)
             parts = range(COUNTERS // PART)
@@ -142,8 +143,9 @@ def _add_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _index(width: int, less: int, levels):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_heap()
         seen: set[int] = set()
-        for batch in batches:
+        for batch in (x for b in batches for x in slices(b, "text")):
             sigs, nodes, sizes, places = [], [], [], []
             for (text,) in _columns(batch, "text"):
                 g = grams(text, width)
@@ -187,11 +189,17 @@ def similar_documents(docs: DataFrame, at_least: int = 85, width: int = 4, count
     Null or blank text: an empty set, linked with nothing. Null doc_id: kept; it goes with equal
     texts, but is not compared with others and names no component. Repeated rows: a row each. Other columns are ignored. Empty input: no rows.
     """
+    return _similar(docs, at_least, width, count_links).select("doc_id", "n_shingles", "component_id", "n_links")
+
+
+def _similar(docs: DataFrame, at_least: int, width: int, count_links: bool) -> DataFrame:
+    """What similar_documents returns, and text_hash (Spark's xxhash64) and a number of the row's component; null for empty sets."""
     spark = docs.sparkSession
     sc = spark.sparkContext
     base = shared_dir(spark)
-    rows = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    measured = stored(rows.mapInArrow(_measure(width), "doc_id long, n long, node long, m0 long, m1 long, m2 long, m3 long, part int, counts binary"), f"{base}/measured")
+    hashed = docs.select("doc_id", F.col("text").cast("binary").alias("text"), F.xxhash64("text").alias("text_hash"))
+    rows = hashed.select("doc_id", "text")
+    measured = stored(hashed.mapInArrow(_measure(width), "doc_id long, text_hash long, n long, node long, m0 long, m1 long, m2 long, m3 long, part int, counts binary"), f"{base}/measured")
     sums = measured.where("part is not null").select("part", "counts").repartition(COUNTERS // PART, "part").mapInArrow(_add_counts, "part int, counts binary")
     counts = np.zeros(COUNTERS, np.float32)
     for part, x in sums.collect():  # COUNTERS floats in all
@@ -247,7 +255,7 @@ def similar_documents(docs: DataFrame, at_least: int = 85, width: int = 4, count
 
     first = own.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first"))
     if named is None:
-        of = first.select("node", F.col("first").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
+        of = first.select("node", F.col("node").alias("component"), F.col("first").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
     else:
         if count_links:
             inside = shared.join(chosen.join(named, "node").select("node", *marks, F.col("component").alias("c")), "node")
@@ -262,10 +270,13 @@ def similar_documents(docs: DataFrame, at_least: int = 85, width: int = 4, count
         degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
         named = first.join(named, "node", "left").withColumn("component", F.coalesce("component", "node"))
         least = named.groupBy("component").agg(F.min("first").alias("component_id"))
-        of = named.join(least, "component").join(degree, "node", "left").select("node", "component_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+        of = named.join(least, "component").join(degree, "node", "left").select("node", "component", "component_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
     of = stored(of, f"{base}/of")
+    for x in ["shared", "chosen", "texts", "inside", "links_inside", *(f"{x}{k}" for x in ("pairs", "links", "components") for k in range(PIVOTS + 1))]:
+        drop_dir(spark, f"{base}/{x}")
+    tidy(spark)
     out = own.join(of, "node", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.coalesce("n_links", F.lit(0)).cast(T.LongType()).alias("n_links"))
+    return out.select("doc_id", "text_hash", "component", F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.coalesce("n_links", F.lit(0)).cast(T.LongType()).alias("n_links"))
 
 
 def _with_node(width: int):
@@ -279,11 +290,17 @@ def _with_node(width: int):
 
 
 def keep_one(docs: DataFrame, at_least: int = 80, width: int = 5) -> DataFrame:
-    """docs without the near duplicates: of each component the row of the smallest doc_id stays (of repeated ids one row).
+    """docs without the near duplicates: of each component one row stays, that of the smallest doc_id (then hash of the text).
 
-    Texts without words and rows without doc_id stay.
+    Rows of one doc_id with different texts are judged apart. Texts without words and rows without doc_id stay.
     """
-    found = similar_documents(docs, at_least, width, count_links=False).where("doc_id is not null")
-    gone = found.groupBy("doc_id").agg(F.min("component_id").alias("c"), F.max("n_shingles").alias("n"))
-    gone = gone.where("c < doc_id and n > 0").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti")
+    found = _similar(docs, at_least, width, False).where("doc_id is not null and n_shingles > 0")
+    keys = found.groupBy("component", "doc_id", "text_hash").agg(F.count("*").alias("n"))
+    best = keys.groupBy("component").agg(F.min(F.struct("doc_id", "text_hash")).alias("best"))
+    of, hashed, stays = (fresh(docs.columns, x) for x in ("_id", "_hash", "_stays"))
+    marks = keys.join(best, "component").select(F.col("doc_id").alias(of), F.col("text_hash").alias(hashed), (F.struct("doc_id", "text_hash") == F.col("best")).alias(stays), "n").where(f"not {stays} or n > 1").drop("n")
+    marks = stored(marks, shared_dir(docs.sparkSession))
+    joined = docs.join(marks, (F.col("doc_id") == F.col(of)) & (F.xxhash64("text") == F.col(hashed)), "left")
+    # Rows that are equal in id and text, of which one stays, are few or else aggregated before they are dealt.
+    again = joined.where(stays).dropDuplicates([of, hashed])
+    return joined.where(F.col(stays).isNull()).select(docs.columns).unionByName(again.select(docs.columns))

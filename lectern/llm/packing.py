@@ -73,7 +73,7 @@ def packed(docs: DataFrame, capacity: int = CAPACITY, quota: int = QUOTA, group:
     size = F.col(length) if length else F.when(plain == "", 1).otherwise(F.length(plain) - F.length(F.replace(plain, F.lit(" "))) + 2)
     rows = docs.select("doc_id", "source", size.cast("long").alias("size"), (F.col(cluster).cast("string") if cluster else F.hex(F.xxhash64(plain))).alias("cluster"))
     groups = max(1, -(-docs.count() // group))
-    rows = rows.withColumn("grp", F.pmod(F.xxhash64("doc_id", "size"), F.lit(groups)))  # of whole documents; pieces that fill a bin go elsewhere
+    rows = rows.withColumn("grp", F.pmod(F.xxhash64("doc_id", "size", "cluster"), F.lit(groups)))  # of whole documents; pieces that fill a bin go elsewhere
     pieces = F.sequence(F.lit(0).cast("long"), F.greatest(F.floor((F.col("size") - 1) / capacity), F.lit(0).cast("long")))
     rows = rows.withColumn("piece", F.explode(pieces)).withColumn("start", F.col("piece") * capacity).withColumn("n_tokens", F.least(F.lit(capacity).cast("long"), F.col("size") - F.col("start")))
     full = F.col("n_tokens") == capacity

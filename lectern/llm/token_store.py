@@ -4,11 +4,13 @@ Files of a store, all numbers little-endian:
 - `shard-N.ids`: the ids of the shard's documents one after the other (two bytes each for vocabularies up to 65536,
   else four), then an int64 offset in ids for each document and one for the end, then int64 counts of documents and
   bytes per id. Documents stand in ascending doc_id, over all shards; null first; ties by text.
-- `index-B.mph`: for the keys that hash to bucket B: levels of a bit array each, which give every key its own number
-  below the count of keys, and at that number a 32-bit fingerprint of the key, the shard, the first document's place in
-  the shard, and how many documents with that key follow each other there.
+- `index-B.mph`: for the keys that hash to bucket B: levels of a bit array each with counts of the bits before every
+  block, which give every key its own number below the count of keys; and at that number a 32-bit fingerprint of the
+  key, the shard, the first document's place in the shard, and how many documents with that key follow each other there.
+- `null.key`: the same of documents without a key, if there are any.
 
-A key costs one index bucket, a few bit tests, one fingerprint and one read of raw ids, however large the store is.
+A key costs a few reads of some bytes each at places that are computed, and one of its raw ids, however large the store
+is: `get` reads no file whole.
 """
 
 from __future__ import annotations
@@ -28,8 +30,8 @@ from .tokens import word_ids
 
 #: Bits of a level for each key that is left; keys of an index bucket, about; id after each document.
 GAMMA, BUCKET, END = 2, 200_000, 2
-#: The key of documents without one.
-NULL_KEY = 0x6E756C6C6E756C6C
+#: Bits of a block whose bits are counted by reading it.
+BLOCK = 512
 _SEEDS = mix(np.arange(1, 101, dtype=np.uint64) * np.uint64(0x8EBC6AF09C88C6E3))
 _SLOT = np.dtype([("fingerprint", "<u4"), ("shard", "<u4"), ("first", "<u4"), ("count", "<u4")])
 
@@ -62,7 +64,7 @@ def read_file(uri: str) -> bytes:
 
 
 def keys_of(ids: list) -> np.ndarray:
-    return np.array([NULL_KEY if i is None else i & 0xFFFFFFFFFFFFFFFF for i in ids], np.uint64)
+    return np.array([i & 0xFFFFFFFFFFFFFFFF for i in ids], np.uint64)
 
 
 def fingerprints(keys: np.ndarray) -> np.ndarray:
@@ -105,18 +107,29 @@ def index_bytes(keys: np.ndarray, shard: np.ndarray, first: np.ndarray, count: n
     at = Levels(levels)(keys)
     slots["fingerprint"][at], slots["shard"][at], slots["first"][at], slots["count"][at] = fingerprints(keys), shard, first, count
     head = np.array([len(keys), len(levels), *map(len, levels)], "<i8").tobytes()
-    return head + b"".join(np.packbits(x).tobytes() for x in levels) + slots.tobytes()
+    bits, before, n = [], [], 0
+    for x in levels:
+        whole = np.append(x, np.zeros(-len(x) % BLOCK, bool))
+        of = whole.reshape(-1, BLOCK).sum(axis=1)
+        bits.append(np.packbits(whole).tobytes())
+        before.append(n + np.cumsum(of) - of)
+        n += int(of.sum())
+    return head + b"".join(bits) + np.concatenate([*before, np.empty(0, np.int64)]).astype("<u4").tobytes() + slots.tobytes()
 
 
 class Index:
+    """A bucket's index, read whole: for many keys."""
+
     def __init__(self, data: bytes):
         n, k = np.frombuffer(data, "<i8", 2)
         sizes = np.frombuffer(data, "<i8", int(k), 16)
-        at, levels = 16 + 8 * int(k), []
+        at, levels, blocks = 16 + 8 * int(k), [], 0
         for s in sizes.tolist():
-            levels.append(np.unpackbits(np.frombuffer(data, np.uint8, -(-s // 8), at), count=s).astype(bool))
-            at += -(-s // 8)
-        self.levels, self.slots = Levels(levels), np.frombuffer(data, _SLOT, int(n), at)
+            whole = -(-s // BLOCK) * BLOCK // 8
+            levels.append(np.unpackbits(np.frombuffer(data, np.uint8, whole, at), count=s).astype(bool))
+            at += whole
+            blocks += whole * 8 // BLOCK
+        self.levels, self.slots = Levels(levels), np.frombuffer(data, _SLOT, int(n), at + 4 * blocks)
 
     def __call__(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Slots of the keys, and which of them are in the index, as their fingerprint tells (an error in 2 ** 32)."""
@@ -126,6 +139,27 @@ class Index:
         return slots, found & (slots["fingerprint"] == fingerprints(keys))
 
 
+def slot_of(uri: str, key: np.ndarray) -> np.ndarray | None:
+    """The slot of one key (an array of one), from the few bytes of the index that tell it."""
+    fs, path = _open(uri)
+    with fs.open_input_file(path) as f:
+        n, k = np.frombuffer(f.read_at(16, 0), "<i8").tolist()
+        sizes = np.frombuffer(f.read_at(8 * k, 16), "<i8").tolist()
+        blocks = [-(-s // BLOCK) for s in sizes]
+        bits, counts = 16 + 8 * k, 16 + 8 * k + sum(blocks) * BLOCK // 8
+        done = 0
+        for level, (s, of) in enumerate(zip(sizes, blocks, strict=True)):
+            place = int(mix(key ^ _SEEDS[level])[0] % np.uint64(s))
+            block, inside = divmod(place, BLOCK)
+            own = np.unpackbits(np.frombuffer(f.read_at(BLOCK // 8, bits + (done + block) * BLOCK // 8), np.uint8))
+            if own[inside]:
+                before = int(np.frombuffer(f.read_at(4, counts + 4 * (done + block)), "<u4")[0])
+                slot = np.frombuffer(f.read_at(_SLOT.itemsize, counts + 4 * sum(blocks) + _SLOT.itemsize * (before + int(own[:inside].sum()))), _SLOT)
+                return slot if slot["fingerprint"][0] == fingerprints(key)[0] else None
+            done += of
+    return None
+
+
 class Shard:
     """Documents of one shard; reads only what is asked for."""
 
@@ -133,12 +167,17 @@ class Shard:
         fs, path = _open(uri)
         self.f = fs.open_input_file(path)
         size = self.f.size()
-        n, width = np.frombuffer(self.f.read_at(16, size - 16), "<i8").tolist()
-        self.offsets = np.frombuffer(self.f.read_at(8 * (n + 1), size - 16 - 8 * (n + 1)), "<i8")
-        self.width = width
+        self.n, self.width = np.frombuffer(self.f.read_at(16, size - 16), "<i8").tolist()
+        self.offsets = size - 16 - 8 * (self.n + 1)
 
-    def ids(self, k: int) -> np.ndarray:
-        a, b = int(self.offsets[k]), int(self.offsets[k + 1])
+    def bounds(self, k: int, count: int = 1) -> list[int]:
+        """Where documents k, k + 1 ... begin, and where the last of `count` ends."""
+        return np.frombuffer(self.f.read_at(8 * (count + 1), self.offsets + 8 * k), "<i8").tolist()
+
+    def every_bound(self) -> list[int]:
+        return self.bounds(0, self.n)
+
+    def ids(self, a: int, b: int) -> np.ndarray:
         return np.frombuffer(self.f.read_at((b - a) * self.width, a * self.width), f"<u{self.width}")
 
 
@@ -146,10 +185,10 @@ class Shard:
 
 
 class TokenStore:
-    """A written store: where it is, its buckets, and how many ids lie before each shard."""
+    """A written store: where it is, its buckets, how many ids lie before each shard, and the slots of documents without a key."""
 
-    def __init__(self, spark: SparkSession, at: str, buckets: int, before: dict[int, int]):
-        self.spark, self.at, self.buckets, self.before = spark, at, buckets, before
+    def __init__(self, spark: SparkSession, at: str, buckets: int, before: dict[int, int], nulls: np.ndarray):
+        self.spark, self.at, self.buckets, self.before, self.nulls = spark, at, buckets, before, nulls
 
     def shard(self, n: int) -> str:
         return f"{self.at}/shard-{n}.ids"
@@ -159,16 +198,23 @@ class TokenStore:
 
     def get(self, doc_id: int | None) -> list[np.ndarray]:
         """The ids of each document with that key, from the files alone; none if there is no such key."""
-        keys = keys_of([doc_id])
-        slots, found = Index(read_file(f"{self.at}/index-{int(self.bucket_of(keys)[0])}.mph"))(keys)
-        if not found[0]:
-            return []
-        shard = Shard(self.shard(int(slots["shard"][0])))
-        return [shard.ids(k) for k in range(int(slots["first"][0]), int(slots["first"][0] + slots["count"][0]))]
+        if doc_id is None:
+            fs, path = _open(f"{self.at}/null.key")
+            slots = np.frombuffer(read_file(f"{self.at}/null.key"), _SLOT) if fs.get_file_info(path).type != pafs.FileType.NotFound else []
+        else:
+            key = keys_of([doc_id])
+            slot = slot_of(f"{self.at}/index-{int(self.bucket_of(key)[0])}.mph", key)
+            slots = [] if slot is None else slot
+        out = []
+        for s in slots:
+            shard = Shard(self.shard(int(s["shard"])))
+            at = shard.bounds(int(s["first"]), int(s["count"]))
+            out += [shard.ids(a, b) for a, b in zip(at, at[1:])]
+        return out
 
     def placed(self, keys: DataFrame) -> DataFrame:
         """doc_id, shard, first, count of the keys (a column doc_id, without repeats) that the index has."""
-        at, buckets, bucket_of = self.at, self.buckets, TokenStore.bucket_of
+        at, buckets = self.at, self.buckets
 
         def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             last, index = None, None
@@ -182,22 +228,28 @@ class TokenStore:
                     slots, found = index(keys_of(asked.to_pylist()))
                     yield pa.RecordBatch.from_arrays([asked, *(pa.array(slots[c].astype(np.int64)) for c in ("shard", "first", "count"))], ["doc_id", "shard", "first", "count"]).filter(pa.array(found))
 
-        return _with_bucket(keys, buckets, bucket_of, self).sortWithinPartitions("bucket").mapInArrow(look_up, "doc_id long, shard long, first long, count long")
+        schema = "doc_id long, shard long, first long, count long"
+        found = _with_bucket(keys.where("doc_id is not null").select("doc_id"), buckets).sortWithinPartitions("bucket").mapInArrow(look_up, schema)
+        none = keys.where("doc_id is null")
+        for s in self.nulls:
+            found = found.unionByName(none.select("doc_id", *(F.lit(int(s[c])).cast("long").alias(c) for c in ("shard", "first", "count"))))
+        return found
 
     def read(self, keys: DataFrame) -> DataFrame:
         """doc_id, start, n_tokens, ids_crc32 and ids of each document of the keys, from the files: through the index to its shard."""
         at, before = self.at, self.before
 
         def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            last, shard = None, None
+            last, shard, at_ids = None, None, []
             for batch in batches:
                 out: list[list] = [[], [], [], [], []]
                 for doc_id, s, first, count in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "shard", "first", "count")), strict=True):
                     if s != last:
                         last, shard = s, Shard(f"{at}/shard-{s}.ids")
+                        at_ids = shard.every_bound()
                     for k in range(first, first + count):
-                        ids = shard.ids(k)
-                        for col, x in zip(out, (doc_id, before[s] + int(shard.offsets[k]), len(ids), zlib.crc32(ids.astype("<u4").tobytes()), ids.tobytes()), strict=True):
+                        ids = shard.ids(at_ids[k], at_ids[k + 1])
+                        for col, x in zip(out, (doc_id, before[s] + at_ids[k], len(ids), zlib.crc32(ids.astype("<u4").tobytes()), ids.tobytes()), strict=True):
                             col.append(x)
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (*[pa.int64()] * 4, pa.binary()), strict=True)], ["doc_id", "start", "n_tokens", "ids_crc32", "ids"])
 
@@ -205,7 +257,7 @@ class TokenStore:
         return dealt.mapInArrow(load, "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary")
 
 
-def _with_bucket(keys: DataFrame, buckets: int, bucket_of, store) -> DataFrame:
+def _with_bucket(keys: DataFrame, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             k = keys_of(batch.column("doc_id").to_pylist())
@@ -266,6 +318,8 @@ def write_store(docs: DataFrame, tokenizer: str, end: int = END) -> TokenStore:
         yield pa.RecordBatch.from_arrays([pa.array(list(own), pa.int64())], ["bucket"])
 
     keys = manifest.groupBy("doc_id", "shard").agg(F.min("place").alias("first"), F.count("*").alias("count"))
-    store = TokenStore(spark, at, buckets, before)
-    _with_bucket(keys, buckets, None, None).mapInArrow(index, "bucket long").count()
-    return store
+    nulls = np.array([(0, r["shard"], r["first"], r["count"]) for r in keys.where("doc_id is null").collect()], _SLOT)  # one at most: all nulls lie in one shard
+    if len(nulls):
+        write_file(f"{at}/null.key", iter([nulls.tobytes()]))
+    _with_bucket(keys.where("doc_id is not null"), buckets).mapInArrow(index, "bucket long").count()
+    return TokenStore(spark, at, buckets, before, nulls)

@@ -58,6 +58,11 @@ def test_decontaminate(docs, bench):
     rows = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs, bench).collect()}
     assert {(1, 1), (2, 1), (None, 1), (7, 4)} == rows
     assert decontaminate.leaks(none(docs), bench).count() == 0 and decontaminate.leaks(docs, none(bench)).count() == 0
+    whole, decontaminate.MOST_ITEMS = decontaminate.MOST_ITEMS, 1
+    try:
+        assert {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs, bench).collect()} == rows
+    finally:
+        decontaminate.MOST_ITEMS = whole
     kept = decontaminate.without_leaks(docs, bench)
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.select("doc_id").collect()} == {None, 3, 4, 5, 6, 8, 9}
 
@@ -108,6 +113,30 @@ def test_token_store(docs):
     assert token_store.write_store(none(docs), TOKENS).read(none(docs).select("doc_id")).count() == 0
 
 
+def test_token_store_key_like_null(spark):
+    """No id is taken for a missing one; keys and their ids come from single reads."""
+    ids = [None, None, 7959387129412676716, -1, 0, *range(5, 3000, 7)]
+    df = spark.createDataFrame([(i, f"text {k} of many") for k, i in enumerate(ids)], "doc_id long, text string")
+    store = token_store.write_store(df, TOKENS)
+    assert store.read(df.select("doc_id").distinct()).count() == len(ids) and len(store.get(None)) == 2
+    rows = {r["doc_id"]: r["ids"] for r in store.read(df.select("doc_id").distinct()).collect() if r["doc_id"] is not None}
+    for i in ids[2:40]:
+        assert [x.tobytes() for x in store.get(i)] == [bytes(rows[i])]
+    assert store.get(4) == []
+
+
+def test_texts_of_one_id(spark):
+    """Rows of one doc_id are judged by their own texts."""
+    a, b = (" ".join(f"{x}{k}" for k in range(60)) for x in "pq")
+    one = spark.createDataFrame([(1, a), (5, a), (5, b), (1, a)], "doc_id long, text string")
+    assert sorted(map(tuple, ngram_join.keep_one(one).collect())) == [(1, a), (5, b)]
+    own = " ".join(f"own{k}" for k in range(10))
+    two = spark.createDataFrame([(1, a), (5, f"{own} {a}"), (5, b), (5, f"{own} {a}")], "doc_id long, text string")
+    assert sorted(map(tuple, passages.without_repeats(two).collect())) == [(1, a), (5, f"{own} "), (5, f"{own} "), (5, b)]
+    spans = passages.repeated_passages(two).select("doc_id", "first_word", "end_word", "source_id").distinct().collect()
+    assert set(map(tuple, spans)) == {(5, 10, 70, 1)}
+
+
 def test_attention_lm(docs):
     rows = attention_lm.scores(docs, TOKENS).collect()
     assert len(rows) == len(ROWS) and all(r["score"] <= 0 and r["score"] == r["score"] for r in rows)
@@ -132,6 +161,8 @@ def test_chat(spark):
     assert got[1, 1] == ("Indeed.", 0, True) and got[1, 2] == ("ok", 0, True) and got[2, 5][1] is None
     assert sum(r["n_messages"] for r in chat.rendered(df, part=2).collect()) == len(m)
     assert chat.rendered(none(df)).count() == 0
+    short = spark.createDataFrame([(1, 0, "user", "Yes"), (1, 1, "assistant", "And this?"), (1, 2, "user", "> yes\nWhy?")], "conv_id long, turn long, role string, text string")
+    assert {(r["turn"], r["parent_turn"], r["quoted"]) for r in chat.linked(short).collect()} == {(0, None, False), (1, 0, False), (2, 0, True)}
 
 
 def test_stages_on_empty_table(spark, docs, bench, tmp_path):
