@@ -210,13 +210,6 @@ def head_and_variants(c: Column) -> Column:
     return F.filter(F.array_distinct(F.concat(F.array(base), inner, parts)), lambda x: x != "")
 
 
-def marked_stats(cleaned: Column) -> Column:
-    """What decides how a text's diacritics are treated: words, marked words, marks, share of marked words."""
-    marked = F.size(F.filter(words(cleaned), lambda w: w.rlike(f"[{MARKS}{LATIN_MARKED}]")))
-    n = word_count(cleaned)
-    return F.struct(n.alias("words"), marked.alias("marked"), F.regexp_count(cleaned, F.lit(f"[{MARKS}]")).alias("marks"), F.when(n > 0, marked / n).otherwise(0.0).alias("share"))
-
-
 # Code points of a legacy font and the letters they stand for.
 LEGACY = {
     "": "а̄",

@@ -2,32 +2,32 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: The canonical paragraph and character styles, and styles that every file has.
-CANONICAL = ("Heading 1", "Heading 2", "Heading 3", "Heading 4", "Body", "Shloka", "Shloka in quote", "Shloka translation", "Quote 1", "Quote 2", "Letter", "Source", "Caption", "Numbered list", "Bulleted list", "Footnote", "Contents 1", "Contents 2")
-CHARACTER = ("Italic", "Bold")
+#: Styles that every file has.
 SYSTEM = ("", "Normal", "footnote text", "footnote reference", "Default Paragraph Font")
 
 
-def style_sets(paragraphs: DataFrame, style: str = "style_name") -> DataFrame:
-    """style, status, n: used styles that are not canonical, and canonical ones that are not used."""
+def style_sets(paragraphs: DataFrame, canonical: Sequence[str], character: Sequence[str] = (), system: Sequence[str] = SYSTEM, style: str = "style_name") -> DataFrame:
+    """style, status, n: used styles that are not canonical, and canonical ones that are not used. The lists are the house's."""
     used = paragraphs.groupBy(F.coalesce(style, F.lit("")).alias("style")).agg(F.count("*").alias("n"))
-    odd = used.where(~F.col("style").isin(*CANONICAL, *CHARACTER, *SYSTEM)).withColumn("status", F.lit("noncanonical_paragraph_style"))
-    wanted = paragraphs.sparkSession.createDataFrame([(s,) for s in CANONICAL], "style string")
+    odd = used.where(~F.col("style").isin(*canonical, *character, *system)).withColumn("status", F.lit("noncanonical_paragraph_style"))
+    wanted = paragraphs.sparkSession.createDataFrame([(s,) for s in canonical], "style string")
     missing = wanted.join(used, "style", "left_anti").select("style", F.lit(0).cast("long").alias("n"), F.lit("canonical_style_unused").alias("status"))
     return odd.select("style", "status", "n").unionByName(missing.select("style", "status", "n"))
 
 
-def run_issues(runs: DataFrame, font: str) -> DataFrame:
+def run_issues(runs: DataFrame, font: str, character: Sequence[str] = ()) -> DataFrame:
     """Issues of runs (keys, run_font, italic, bold, char_style, overrides): at most one of a kind for each paragraph, with counts."""
     found = F.filter(
         F.array(
             F.when((F.coalesce("run_font", F.lit("")) != "") & (F.col("run_font") != font), F.lit("run_unexpected_font")),
             F.when((F.col("italic") | F.col("bold")) & (F.coalesce("char_style", F.lit("")) == ""), F.lit("manual_emphasis_without_char_style")),
             F.when(F.size("overrides") > 0, F.lit("run_override")),
-            F.when(F.coalesce("char_style", F.lit("")).isin("", *CHARACTER) == F.lit(False), F.lit("noncanonical_character_style")),
+            F.when(F.coalesce("char_style", F.lit("")).isin("", *character) == F.lit(False), F.lit("noncanonical_character_style")),
         ),
         lambda x: x.isNotNull(),
     )

@@ -1,10 +1,7 @@
-"""Paragraph styles by rules that look at the styles given before, and how diacritics in a text are to be treated."""
+"""Paragraph styles by rules that look at the styles given before."""
 
 from __future__ import annotations
 
-import unicodedata
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,36 +44,3 @@ def styles(paragraphs: DataFrame, key: str, order: str, limit: int = 20_000) ->
         return F.struct(F.when(body, F.coalesce(style, F.lit(""))).otherwise("").alias("prev"), F.array_append(acc["out"], F.struct(p["o"].cast("int").alias("o"), style.alias("style"))).alias("out"))
 
     return docs.select(key, F.explode(F.aggregate("p", start, step)["out"]).alias("s")).select(key, F.col("s.o").alias(order), "s.style")
-
-
-def diacritics(cleaned: Column) -> Column:
-    """(action, reason): none, preserve or normalize_prose, by the first rule that holds."""
-    s = tx.marked_stats(cleaned)
-    pair = lambda a, r: F.struct(F.lit(a).alias("action"), F.lit(r).alias("reason"))
-    return (
-        F.when(s["marked"] == 0, pair("none", "no_diacritics"))
-        .when((s["words"] <= 3) & (s["share"] >= 0.5), pair("preserve", "short_term"))
-        .when(s["share"] >= 0.5, pair("preserve", "verse_like"))
-        .when(tx.looks_transliterated(cleaned), pair("preserve", "transliteration"))
-        .when(cleaned.rlike("[.!?…]"), pair("normalize_prose", "prose_with_terms"))
-        .otherwise(pair("normalize_prose", "mixed"))
-    )
-
-
-def without_marks(c: Column) -> Column:
-    """Letters without their marks; й and ё keep theirs. Unicode's normal forms need Python."""
-
-    @F.pandas_udf("string")
-    def strip(x: pd.Series) -> pd.Series:
-        def one(s: str | None) -> str | None:
-            if s is None:
-                return None
-            kept = []
-            for ch in unicodedata.normalize("NFC", s):
-                d = unicodedata.normalize("NFD", ch)
-                kept.append(ch if ch in "йЙёЁ" else "".join(y for y in d if not unicodedata.combining(y)) or "")
-            return unicodedata.normalize("NFC", "".join(kept))
-
-        return x.map(one)
-
-    return strip(c)

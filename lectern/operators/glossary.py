@@ -32,10 +32,19 @@ def candidate_aggregate(candidates: DataFrame) -> DataFrame:
     return base.join(category, "key").join(example, "key").join(variants, "key")
 
 
-def approved_form(candidates: DataFrame, key_of: Column) -> DataFrame:
-    """The variant that stands for each key: preferably one whose own key it is, unmarked, short, in lower case, frequent."""
+def approved_form(candidates: DataFrame, key_of: Column, hint_of: Column | None = None) -> DataFrame:
+    """The variant that stands for each key.
+
+    Of variants whose own key (or, by hint_of, their hint's) it is: one whose own key it is, unmarked, short, in lower
+    case, frequent. If there are none: one that is unmarked, frequent, short.
+    """
     n = candidates.groupBy("key", "variant").agg(F.count("*").alias("n"))
-    rank = F.struct((key_of != F.col("key")).alias("a"), F.col("variant").rlike(f"[{tx.MARKS}{tx.LATIN_MARKED}]").alias("b"), F.length("variant").alias("c"), F.substring("variant", 1, 1).rlike(r"\p{Lu}").alias("d"), (-F.col("n")).alias("e"), F.col("variant").alias("f"))
+    own = key_of == F.col("key")
+    fits = own if hint_of is None else own | (hint_of == F.col("key"))
+    marks, upper = F.col("variant").rlike(f"[{tx.MARKS}{tx.LATIN_MARKED}]"), F.substring("variant", 1, 1).rlike(r"\p{Lu}")
+    number = lambda c: c.cast("long")
+    pick = lambda a, b, name: F.when(fits, number(a)).otherwise(number(b)).alias(name)
+    rank = F.struct((~fits).alias("a"), pick(~own, marks, "b"), pick(marks, -F.col("n"), "c"), number(F.length("variant")).alias("d"), pick(upper, F.lit(0), "e"), pick(-F.col("n"), F.lit(0), "f"), F.col("variant").alias("g"))
     return n.groupBy("key").agg(F.min_by("variant", rank).alias("approved_form"))
 
 

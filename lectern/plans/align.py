@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lectern.functions import text as tx
 from lectern.operators import alignment as al
 from lectern.operators import classify as cl
+from lectern.operators import semantic as sm
 from lectern.sources.tables import table, text_blocks, with_features
 
 from .blocks import BLOCKS, document_blocks
@@ -51,7 +52,8 @@ def structural_review(spark, sf_dir):
 def aligned_suspicious(spark, sf_dir):
     old, new = _sides(spark, sf_dir)
     pairs = al.matched(al.opcodes(old, new, "doc_id", "pos", "signature"), "doc_id")
-    return al.suspicious(pairs, old, new, "doc_id").select("doc_id", "i", "j", "s_kind", "t_kind", "s_digit_signature", "t_digit_signature", "reasons")
+    x = al.suspicious(pairs, old, new, "doc_id").withColumn("review", sm.aligned_review(F.col("reasons")))
+    return x.select("doc_id", "i", "j", "s_kind", "t_kind", "s_digit_signature", "t_digit_signature", "reasons", "review.kind", "review.severity")
 
 
 @query()
@@ -78,7 +80,8 @@ def update_candidates(spark, sf_dir):
     x = x.withColumns({"old": F.coalesce("old", F.lit("")), "new": F.coalesce("new", F.lit("")), "kinds": F.array_union(F.coalesce("old_kinds", F.array().cast("array<string>")), F.coalesce("new_kinds", F.array().cast("array<string>")))})
     x = x.withColumn("char_ratio", F.round(al.text_ratio(F.col("old"), F.col("new")), 4))
     delta = F.abs(tx.word_count(F.col("old")) - tx.word_count(F.col("new")))
-    c = al.change(tx.digits(F.col("old")) != tx.digits(F.col("new")), F.lit(False), F.arrays_overlap("kinds", F.array(*map(F.lit, al.HIGH_IMPACT))), (F.col("i2") - F.col("i1")) != (F.col("j2") - F.col("j1")), F.col("char_ratio"), delta)
+    refs = sm.loose_references(F.col("old")) != sm.loose_references(F.col("new"))
+    c = al.change(tx.digits(F.col("old")) != tx.digits(F.col("new")), refs, F.arrays_overlap("kinds", F.array(*map(F.lit, al.HIGH_IMPACT))), (F.col("i2") - F.col("i1")) != (F.col("j2") - F.col("j1")), F.col("char_ratio"), delta)
     return x.withColumn("c", c).select("doc_id", "seq", "tag", "char_ratio", "c.flags", "c.meaningful", "c.priority", "c.severity")
 
 
@@ -88,12 +91,6 @@ def style_classification(spark, sf_dir):
     return cl.styles(b, "doc_id", "block_index")
 
 
-@query(BLOCKS + r", w AS (SELECT *, len(list_filter(string_split(text, ' '), lambda x: regexp_matches(x, '[\x{304}\x{323}\x{307}\x{303}\x{301}ĀāĪīŪūṚṛṜṝḶḷṂṃṄṅÑñṆṇṬṭḌḍḤḥŚśṢṣ]'))) AS marked FROM b) SELECT CASE WHEN marked = 0 THEN 'none' WHEN word_count <= 3 AND marked * 2 >= word_count THEN 'preserve' WHEN marked * 2 >= word_count THEN 'preserve' WHEN word_count <= 40 AND NOT regexp_matches(text, '[.!?]') THEN 'preserve' ELSE 'normalize_prose' END AS action, count(*) AS n, sum(marked)::BIGINT AS marked FROM w GROUP BY 1")
-def diacritic_decisions(spark, sf_dir):
-    b = document_blocks(spark, sf_dir).select(cl.diacritics(F.col("text")).alias("d"), tx.marked_stats(F.col("text"))["marked"].alias("m"))
-    return b.groupBy(F.col("d.action").alias("action")).agg(F.count("*").alias("n"), F.sum("m").alias("marked"))
-
-
 @query(BLOCKS + "SELECT lang, doc_id, block_index, row_number() OVER (PARTITION BY lang ORDER BY doc_id, block_index) AS n FROM b")
 def reindex_blocks(spark, sf_dir):
     """Blocks numbered across the documents of a language."""

@@ -124,7 +124,7 @@ def _tests() -> list[Column]:
         raw.rlike(r"!!|\?\?|;;|,,|::"),
         tx.count_char(raw, "(") != tx.count_char(raw, ")"),
         body & F.exists(F.split(t, r"(?<=[.!?…])\s+"), lambda s: tx.word_count(F.trim(s)) >= 45),
-        body & (tx.marked_stats(t)["marked"] > 0),
+        body & t.rlike(f"[{tx.MARKS}{tx.LATIN_MARKED}]"),
         body & (F.col("word_count") >= 14) & ~t.rlike(r'[.!?…»"]\s*$'),
     ]
 

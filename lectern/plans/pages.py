@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lectern.functions import forms as fm
 from lectern.operators import references as rf
 from lectern.sources import html as h
 from lectern.sources.tables import table, with_features
@@ -30,16 +31,22 @@ def page_links(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.explode(h.absolute_links(F.col("html"))).alias("href"))
 
 
-@query(f"""SELECT page_id, regexp_extract(html, '<html[^>]* lang="([^"]*)"', 1) AS lang, regexp_extract(html, '<title[^>]*>([^<]*)</title>', 1) AS title, regexp_extract(html, '<h1[^>]*>([^<]*)</h1>', 1) AS h1, len({LINKS}) AS links, len(list_distinct({LINKS})) AS distinct_links, CASE WHEN len({LINKS}) > 5 THEN 'chapter_view' WHEN len({LINKS}) > 0 THEN 'verse_pages' END AS assembly_mode FROM pages""")
-def page_manifest(spark, sf_dir):
-    p = table(spark, sf_dir, "pages")
-    links = h.absolute_links(F.col("html"))
-    p = p.select("page_id", h.language(F.col("html")).alias("lang"), h.first_tag(F.col("html"), "title").alias("title"), h.first_tag(F.col("html"), "h1").alias("h1"), links.alias("l"))
-    mode = F.when(F.size("l") > 5, "chapter_view").when(F.size("l") > 0, "verse_pages")
-    return p.select("page_id", "lang", "title", "h1", F.size("l").cast("long").alias("links"), F.size(F.array_distinct("l")).cast("long").alias("distinct_links"), mode.alias("assembly_mode"))
+_PARTS = f"list_filter(string_split({PATH}, '/'), lambda x: x <> '')"
 
 
-_PARTS = f"list_filter(string_split({PATH}, '/'), lambda x: x <> '')"
+# Of each page the parent of its own path stands in for the chapter above it, so that chapters have verses below them.
+@query(f"""WITH p AS (SELECT page_id, html, CASE WHEN len({_PARTS}) > 0 THEN '/' || array_to_string({_PARTS}, '/') || '/' ELSE '' END AS own FROM pages), w AS (SELECT page_id, html, regexp_replace(own, '/(\\d+)[^/]*/$', '/\\1/') AS web_path FROM p),
+u AS (SELECT page_id, html, CASE WHEN page_id % 5 = 0 THEN regexp_replace(web_path, '[^/]+/$', '') WHEN page_id % 7 = 0 THEN regexp_replace(web_path, '[^/]+/$', 'advanced-view/') ELSE web_path END AS web_path FROM w),
+c AS (SELECT regexp_replace(web_path, '[^/]+/$', '') AS parent, bool_or(web_path LIKE '%/advanced-view/') AS has_view, count(*) FILTER (regexp_matches(web_path, '/\\d+(-\\d+)?/$')) AS verses FROM u GROUP BY 1)
+SELECT page_id, regexp_extract(html, '<html[^>]* lang="([^"]*)"', 1) AS lang, regexp_extract(html, '<title[^>]*>([^<]*)</title>', 1) AS title, regexp_extract(html, '<h1[^>]*>([^<]*)</h1>', 1) AS h1, len({LINKS}) AS links, len(list_distinct({LINKS})) AS distinct_links,
+CASE WHEN regexp_matches(web_path, '/\\d+(-\\d+)?/$') OR web_path LIKE '%/advanced-view/' OR web_path = '' THEN NULL WHEN has_view THEN 'advanced_view' WHEN verses > 0 THEN 'verse_pages' END AS assembly_mode FROM u LEFT JOIN c ON c.parent = u.web_path""")
+def page_manifest(spark, sf_dir):
+    p = table(spark, sf_dir, "pages")
+    links, i = h.absolute_links(F.col("html")), F.col("page_id")
+    own = F.regexp_replace(fm.web_path(F.regexp_extract("url", "://[^/?#]*([^?#]*)", 1)), r"/(\d+)[^/]*/$", "/$1/")
+    path = F.when(i % 5 == 0, F.regexp_replace(own, "[^/]+/$", "")).when(i % 7 == 0, F.regexp_replace(own, "[^/]+/$", "advanced-view/")).otherwise(own)
+    p = p.select("page_id", h.language(F.col("html")).alias("lang"), h.first_tag(F.col("html"), "title").alias("title"), h.first_tag(F.col("html"), "h1").alias("h1"), links.alias("l"), path.alias("web_path"))
+    return h.assembled(p, "web_path").select("page_id", "lang", "title", "h1", F.size("l").cast("long").alias("links"), F.size(F.array_distinct("l")).cast("long").alias("distinct_links"), "assembly_mode")
 
 
 @query(f"""WITH p AS (SELECT page_id, {_PARTS} AS parts FROM pages) SELECT page_id, parts[1] AS locale, parts[2] AS work_id, CASE WHEN len(parts) = 0 THEN 'root' WHEN len(parts) = 1 THEN 'locale' WHEN regexp_matches(parts[len(parts)], '^\\d+(-\\d+)?(\\.html)?$') THEN 'verse' ELSE 'chapter' END AS page_type, len(parts) AS path_depth FROM p""")

@@ -61,13 +61,6 @@ def private_use_scan(spark, sf_dir):
     return d.where((F.coalesce(n, F.lit(0)) > 0) | (F.col("lang") == "fr")).select("doc_id", n.cast("long").alias("private_use"), F.length("text").cast("long").alias("chars"))
 
 
-@query(r"SELECT doc_id, regexp_replace(regexp_replace(text, '(\d)\s+(г\.|гг\.|см|км|р\.)', '\1' || chr(160) || '\2', 'g'), '([A-ZА-ЯЁ]\.)\s+([A-ZА-ЯЁ])', '\1' || chr(160) || '\2', 'g') AS fixed FROM documents")
-def nbsp_fixes(spark, sf_dir):
-    """No-break spaces between numbers and units, and after initials."""
-    t = F.regexp_replace("text", r"(\d)\s+(г\.|гг\.|см|км|р\.)", "$1 $2")
-    return table(spark, sf_dir, "documents").select("doc_id", F.regexp_replace(t, r"([A-ZА-ЯЁ]\.)\s+([A-ZА-ЯЁ])", "$1 $2").alias("fixed"))
-
-
 @query(r"WITH m AS (SELECT conv_id, turn, sum((role = 'user')::INT) OVER (PARTITION BY conv_id ORDER BY turn) AS exchange, text FROM conversations) SELECT conv_id, exchange::BIGINT AS exchange, string_agg(text, ' ' ORDER BY turn) AS section_text, count(*) AS parts FROM m WHERE exchange > 0 GROUP BY conv_id, exchange")
 def section_texts(spark, sf_dir):
     """Ordered texts of each section; what stands before the first heading goes."""

@@ -129,3 +129,18 @@ def path_info(web_path: Column) -> Column:
     at = lambda i: F.try_element_at(parts, F.lit(i))
     kind = F.when(depth == 0, "root").when(depth == 1, "locale").when(F.try_element_at(parts, depth).rlike(r"^\d+(?:-\d+)?(?:\.html)?$"), "verse").otherwise("chapter")
     return F.struct(at(1).alias("locale"), F.slice(parts, 2, F.greatest(depth - 1, F.lit(0))).alias("parts"), at(2).alias("work_id"), kind.alias("page_type"), depth.alias("path_depth"))
+
+
+def assembled(pages: DataFrame, path: str) -> DataFrame:
+    """pages with verse_child_count and assembly_mode: how a chapter's page can be put together.
+
+    advanced_view if the mirror has that page below it, else verse_pages if it has verses below it, else null; null for
+    verses and views themselves. Children are counted by an aggregation and one join, whatever their number.
+    """
+    verse = r"/\d+(-\d+)?/$"
+    below = pages.select(F.regexp_replace(path, r"[^/]+/$", "").alias("_of"), F.col(path).endswith("/advanced-view/").alias("_view"), F.col(path).rlike(verse).alias("_verse"))
+    below = below.groupBy("_of").agg(F.max("_view").alias("_view"), F.count_if("_verse").alias("_n"))
+    chapter = ~F.col(path).rlike(verse) & ~F.col(path).endswith("/advanced-view/") & (F.col(path) != "")
+    x = pages.join(below.withColumnRenamed("_of", path), path, "left")
+    mode = F.when(chapter & F.coalesce("_view", F.lit(False)), "advanced_view").when(chapter & (F.col("_n") > 0), "verse_pages")
+    return x.withColumns({"verse_child_count": F.when(chapter, F.coalesce("_n", F.lit(0))).otherwise(0).cast("long"), "assembly_mode": mode}).drop("_view", "_n")

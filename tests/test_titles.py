@@ -22,10 +22,10 @@ def test_titles(spark):
 
 def test_audit(spark):
     p = spark.createDataFrame([("Body",), ("Odd",), ("Odd",), (None,)], "style_name string")
-    got = {(r["style"], r["status"]): r["n"] for r in audit.style_sets(p).collect()}
+    got = {(r["style"], r["status"]): r["n"] for r in audit.style_sets(p, ("Body", "Heading 1")).collect()}
     assert got["Odd", "noncanonical_paragraph_style"] == 2 and ("Heading 1", "canonical_style_unused") in got and ("Body", "canonical_style_unused") not in got
     runs = spark.createDataFrame([("f", 1, "Arial", True, False, None, ["color"]), ("f", 1, None, False, False, "Italic", []), ("f", 2, "Serif", False, False, "Own", [])], "source_path string, paragraph_index int, run_font string, italic boolean, bold boolean, char_style string, overrides array<string>")
-    kinds = {(r["paragraph_index"], r["kind"]) for r in audit.run_issues(runs, "Serif").collect()}
+    kinds = {(r["paragraph_index"], r["kind"]) for r in audit.run_issues(runs, "Serif", ("Italic",)).collect()}
     assert kinds == {(1, "run_unexpected_font"), (1, "manual_emphasis_without_char_style"), (1, "run_override"), (2, "noncanonical_character_style")}
     f = spark.createDataFrame([("f", 1, "the Term and Name", ["name"])], "source_path string, paragraph_index int, text string, italics array<string>")
     t = spark.createDataFrame([("term", "always"), ("name", "never"), ("and", "skip")], "phrase string, automation string")
