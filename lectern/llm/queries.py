@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import attention_lm, chat, decontaminate, fingerprint, language, ngram_join, packing, passages, token_store, url_rules
+from . import attention_lm, chat, decontaminate, fingerprint, language, line_runs, ngram_join, packing, passages, token_store, url_rules
 from .common import table
 
 
@@ -66,5 +66,21 @@ def op4_chat_quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rendered(table(spark, sf_dir, "conversations"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_decontamination, op2_best_fit_packing, op3_token_store, op4_chat_quotations, op5_url_filter, op6_ngram_jaccard, op7_language_id, op8_substring_dedup, op9_fingerprint, op10_attention_lm)}
-ORACLE: dict[str, str] = {}
+def op12_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x = line_runs.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"), 10, 1)
+    return x.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+#: DuckDB's own reading of op12: lines at line feeds, keys stripped and lowered, counted over documents.
+OP12_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce("text", ''), chr(10)) AS ls FROM documents),
+l AS (SELECT r, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM d),
+k AS (SELECT r, pos, line, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS "key" FROM l),
+c AS (SELECT "key" FROM k WHERE "key" <> '' GROUP BY "key" HAVING count(DISTINCT r) >= 10),
+m AS (SELECT r, pos, line, "key" IN (SELECT "key" FROM c) AS gone FROM k),
+g AS (SELECT r, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS kept FROM m GROUP BY r)
+SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM g JOIN d USING (r)"""
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_decontamination, op2_best_fit_packing, op3_token_store, op4_chat_quotations, op5_url_filter, op6_ngram_jaccard, op7_language_id, op8_substring_dedup, op9_fingerprint, op10_attention_lm, op12_line_runs)}
+ORACLE: dict[str, str] = {"op12_line_runs": OP12_SQL}
