@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import attention_lm, chat, decontaminate, fingerprint, language, line_runs, ngram_join, packing, passages, token_store, url_rules
-from .common import table
+from . import attention_lm, chat, decontaminate, fingerprint, language, line_runs, ngram_join, packing, passages, token_store, upsert, url_rules, whitening
+from .common import shared_dir, table
 
 
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +66,30 @@ def op4_chat_quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rendered(table(spark, sf_dir, "conversations"))
 
 
+def _crc(c: Column) -> Column:
+    return F.crc32(c.cast("string").cast("binary"))
+
+
+def op11_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clients = table(spark, sf_dir, "clients")
+    files = upsert.write_files(clients.where(_crc(F.col("client_id")) % 7 > 3), "client_id", 1 + clients.count() // 700, shared_dir(spark))
+
+    def action(change: Column, first: Column) -> Column:
+        h = _crc(first) % 12
+        return F.when(h > 7, upsert.IGNORE).when((change["op"] == "D") | (_crc(change["change_id"]) % 8 < h), upsert.DELETE)
+
+    sets = ["source", "segment", "city", "balance"]
+    changes = table(spark, sf_dir, "client_changes").select("client_id", "seq", "change_id", "op", *sets)
+    upsert.upsert(spark, files, changes, ["seq", "change_id"], sets, action)
+    text = lambda c: F.coalesce(F.col(c), F.lit(""))
+    sums = {"cents": F.floor(F.lit(100) * F.col("balance") + 0.5), "rows_crc": F.crc32(F.concat_ws("|", text("source"), text("segment"), text("city")).cast("binary"))}
+    return upsert.described(spark, files, sums)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings").select("vec_id", "embedding")).drop("embedding")
+
+
 def op12_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = line_runs.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"), 10, 1)
     return x.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
@@ -82,5 +106,5 @@ g AS (SELECT r, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, coales
 SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM g JOIN d USING (r)"""
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_decontamination, op2_best_fit_packing, op3_token_store, op4_chat_quotations, op5_url_filter, op6_ngram_jaccard, op7_language_id, op8_substring_dedup, op9_fingerprint, op10_attention_lm, op12_line_runs)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_decontamination, op2_best_fit_packing, op3_token_store, op4_chat_quotations, op5_url_filter, op6_ngram_jaccard, op7_language_id, op8_substring_dedup, op9_fingerprint, op10_attention_lm, op11_upsert, op12_line_runs, op13_whitening)}
 ORACLE: dict[str, str] = {"op12_line_runs": OP12_SQL}
