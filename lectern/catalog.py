@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.plans import align, blocks, pages, review, rules, terms
+from lectern.plans import align, blocks, pages, review, rules, styles, terms
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
-for plan in (blocks, pages, terms, align, review, rules):
+for plan in (blocks, pages, terms, align, review, rules, styles):
     QUERIES |= plan.QUERIES
     ORACLE |= plan.ORACLE
 FLAGSHIP = "review_issue_rollup"

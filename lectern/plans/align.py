@@ -1,4 +1,4 @@
-"""Alignment, updates, styles and diacritics. Documents are the old side; the new side lacks table lines and has other numbers."""
+"""Alignment and updates. Documents are the old side; the new side lacks table lines and has other numbers."""
 
 from __future__ import annotations
 
@@ -6,23 +6,13 @@ from pyspark.sql import functions as F
 
 from lectern.functions import text as tx
 from lectern.operators import alignment as al
-from lectern.operators import classify as cl
 from lectern.operators import semantic as sm
 from lectern.sources.tables import table, text_blocks, with_features
 
 from .blocks import BLOCKS, document_blocks
+from .registry import registry
 
-QUERIES, ORACLE = {}, {}
-
-
-def query(sql: str | None = None):
-    def put(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE[f.__name__] = sql
-        return f
-
-    return put
+QUERIES, ORACLE, query = registry()
 
 
 def _sides(spark, sf_dir):
@@ -85,12 +75,6 @@ def update_candidates(spark, sf_dir):
     return x.withColumn("c", c).select("doc_id", "seq", "tag", "char_ratio", "c.flags", "c.meaningful", "c.priority", "c.severity")
 
 
-@query()
-def style_classification(spark, sf_dir):
-    b = document_blocks(spark, sf_dir).select("doc_id", "block_index", "text", F.lit("Normal").alias("style_name"), F.lit(0).alias("indent"))
-    return cl.styles(b, "doc_id", "block_index")
-
-
 @query(BLOCKS + "SELECT lang, doc_id, block_index, row_number() OVER (PARTITION BY lang ORDER BY doc_id, block_index) AS n FROM b")
 def reindex_blocks(spark, sf_dir):
     """Blocks numbered across the documents of a language."""

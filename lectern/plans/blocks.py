@@ -9,17 +9,9 @@ from lectern.functions import text as tx
 from lectern.operators import issues as iss
 from lectern.sources.tables import first_of, table, text_blocks, with_features
 
-QUERIES, ORACLE = {}, {}
+from .registry import registry
 
-
-def query(sql: str | None = None):
-    def put(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE[f.__name__] = sql
-        return f
-
-    return put
+QUERIES, ORACLE, query = registry()
 
 
 def document_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,17 +9,9 @@ from lectern.operators import references as rf
 from lectern.sources import html as h
 from lectern.sources.tables import table, with_features
 
-QUERIES, ORACLE = {}, {}
+from .registry import registry
 
-
-def query(sql: str | None = None):
-    def put(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE[f.__name__] = sql
-        return f
-
-    return put
+QUERIES, ORACLE, query = registry()
 
 
 LINKS = """regexp_extract_all(html, 'href="(/[^"]*)"', 1)"""

@@ -12,18 +12,9 @@ from lectern.sources.tables import table
 
 from .blocks import ISSUES, document_blocks, stylistic
 from .terms import FORMS
+from .registry import registry
 
-QUERIES, ORACLE = {}, {}
-
-
-def query(sql: str | None = None):
-    def put(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE[f.__name__] = sql
-        return f
-
-    return put
+QUERIES, ORACLE, query = registry()
 
 
 def review_issues(spark, blocks: DataFrame) -> DataFrame:

@@ -16,18 +16,9 @@ from lectern.sources.tables import table, text_blocks, with_features
 from .blocks import BLOCKS, ISSUES, document_blocks, stylistic
 from .pages import _HITS, _MIRROR, _resolved
 from .terms import _CANDIDATES, candidates
+from .registry import registry
 
-QUERIES, ORACLE = {}, {}
-
-
-def query(sql: str | None = None):
-    def put(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE[f.__name__] = sql
-        return f
-
-    return put
+QUERIES, ORACLE, query = registry()
 
 
 def _list(words) -> str:

@@ -12,18 +12,9 @@ from lectern.operators import pairing as pr
 from lectern.sources.tables import table
 
 from .blocks import BLOCKS, ISSUES, document_blocks, stylistic
+from .registry import registry
 
-QUERIES, ORACLE = {}, {}
-
-
-def query(sql: str | None = None):
-    def put(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE[f.__name__] = sql
-        return f
-
-    return put
+QUERIES, ORACLE, query = registry()
 
 
 # ---- pairing: documents are the source side, their labels the target side ------------------------
