@@ -37,10 +37,11 @@ def candidate_text(c: Column, unwrap: bool = True) -> Column:
 
     @F.pandas_udf("string")
     def unescaped(x: pd.Series) -> pd.Series:
-        return x.map(lambda s: html.unescape(s or ""))
+        return x.map(lambda s: s and html.unescape(s))
 
     c = F.coalesce(c, F.lit(""))
-    c = F.when(F.instr(c, "&") > 0, unescaped(c)).otherwise(c)
+    # Python gets nulls but where there is an entity.
+    c = F.coalesce(unescaped(F.when(F.instr(c, "&") > 0, c)), c)
     c = F.trim(F.regexp_replace(c, r"[\s ]+", " "))
     c = F.regexp_replace(F.regexp_replace(c, "^[\"'«„“”]+", ""), "[\"'»“”.,;:!?]+$", "")
     if unwrap:

@@ -107,7 +107,7 @@ def semantic_styles(paragraphs: DataFrame, keys: list[str], order: str, rules: l
     blocks = blocks.select(*keys, "block", F.transform(rows, lambda x: F.struct(x["at"].alias("at"), x["looks"].alias("looks"), x["old"].alias("old"), x["rules"].alias("rules"), step(x).alias("step"))).alias("rows")).where(F.size("rows") > 0)
     steps = F.transform("rows", lambda x: x["step"])
     entered = scan.with_entries(blocks, keys, steps, N).withColumn("seen", scan.before_each(steps, F.col("entry")))
-    x = entered.select(*keys, F.posexplode("rows").alias("i", "x"), "seen").select(*keys, F.col("x.at").alias(order), F.col("x.looks").alias("looks"), F.col("x.old").alias("old_style"), F.substring("x.rules", F.substring("seen", F.col("i") + 1, F.lit(1)).cast("int") + 1, F.lit(1)).alias("rule"))
+    x = entered.select(*keys, F.posexplode_outer("rows").alias("i", "x"), "seen").select(*keys, F.col("x.at").alias(order), F.col("x.looks").alias("looks"), F.col("x.old").alias("old_style"), F.substring("x.rules", F.substring("seen", F.col("i") + 1, F.lit(1)).cast("int") + 1, F.lit(1)).alias("rule"))
     hint = F.col("looks.hinted")
     looked = F.when(F.col("looks.open") & hint.isNull() & (F.col("rule") == " "), F.when(F.col("looks.marks") | F.col("looks.quote"), "m").when(F.col("looks.slanted"), "i"))
     x = x.withColumn("rule", F.coalesce(looked, F.col("rule"))).where((F.col("rule") != " ") | (hint == "review_only"))

@@ -41,13 +41,13 @@ def _handed_down(blocks: DataFrame, keys: list[str], n: int, first: str) -> Data
     # Few are left: the third level has a row for each 16 million rows of a document.
     w = tops.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("block", "step"))).alias("own"))
     w = w.withColumn("seen", before_each(steps, F.lit(first)))
-    entered = w.select(*keys, F.posexplode("own").alias("at", "x"), "seen").select(*keys, F.col("x.block").alias("up"), F.substring("seen", F.col("at") + 1, F.lit(1)).alias("entry"))
+    entered = w.select(*keys, F.posexplode_outer("own").alias("at", "x"), "seen").select(*keys, F.col("x.block").alias("up"), F.substring("seen", F.col("at") + 1, F.lit(1)).alias("entry"))
     return _spread(_joined(groups, entered, keys, "up"), keys, steps)
 
 
 def _spread(groups: DataFrame, keys: list[str], steps: Column) -> DataFrame:
     seen = groups.withColumn("seen", before_each(steps, F.col("entry")))
-    return seen.select(*keys, F.posexplode("own").alias("at", "x"), "seen").select(*keys, F.col("x.block").alias("block"), F.substring("seen", F.col("at") + 1, F.lit(1)).alias("entry"))
+    return seen.select(*keys, F.posexplode_outer("own").alias("at", "x"), "seen").select(*keys, F.col("x.block").alias("block"), F.substring("seen", F.col("at") + 1, F.lit(1)).alias("entry"))
 
 
 def _joined(a: DataFrame, b: DataFrame, keys: list[str], more: str) -> DataFrame:
