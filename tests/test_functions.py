@@ -93,72 +93,6 @@ def test_projection(spark):
     assert got == {(1, 1): (3, 3), (2, 4): (3, 3), (3, 4): (4, 4), (6, 7): (6, 6)}
 
 
-def test_without_marks(spark):
-    assert one(spark, "Kṛṣṇa (Hari, Rāma) ", tx.head_and_variants) == ["Kṛṣṇa", "Hari, Rāma", "Hari", "Rāma"]
-    assert spark.range(1).select(tx.cm_to_twips(F.lit(1.27))).first()[0] == 720
-
-
-@pytest.mark.parametrize(("text", "want"), [('a "b" c', "a «b» c"), ('"a "b" c"', "«a „b“ c»"), ('"a" "b"', "«a» «b»"), ('odd " one', 'odd " one'), ("none", "none"), ('« "x" »', "« „x“ »")])
-def test_quotes(spark, text, want):
-    assert one(spark, text, tx.typographic_quotes) == want
-
-
-def test_typography(spark):
-    r = one(spark, "a  b ,c...x - y", tx.typography)
-    assert r["text"] == "a b, c…x — y"
-    assert list(r["actions"]) == ["nbsp_to_space", "double_spaces", "space_before_punctuation", "three_dots", "spaced_ascii_dash", "space_after_punctuation"]
-    assert one(spark, r["text"], tx.typography)["actions"] == []
-
-
-def chunks(words, n):
-    total, cur, produced, out = max(1, sum(words)), 0, 0, []
-    for w in words:
-        out.append(produced)
-        cur += w
-        if produced < n - 1 and cur >= total / n * (produced + 1):
-            produced += 1
-    return out
-
-
-@settings(max_examples=12, deadline=None)
-@given(st.lists(st.integers(0, 50), min_size=1, max_size=12), st.integers(1, 6))
-def test_weight_chunks(spark, words, n):
-    df = spark.createDataFrame([(1, k, w) for k, w in enumerate(words)], "d int, o int, w int")
-    got = [r["chunk"] for r in segments.weight_chunks(df, ["d"], "o", "w", n).orderBy("o").collect()]
-    assert got == chunks(words, n)
-
-
-def test_references(spark):
-    t = "См. БГ 2.13, шб 1 . 2 . 3–4, ЧЧ Ади-лила 1.5; чч Нечто 1.5 и Isopanisad 7."
-    got = [(h["work"], list(h["path"])) for h in one(spark, t, references.hits)]
-    assert ("bg", ["2", "13"]) in got and ("sb", ["1", "2", "3-4"]) in got and ("cc", ["adi", "1", "5"]) in got and ("iso", ["7"]) in got
-    assert len(got) == 4
-    x = references.extracted(spark.createDataFrame([(1, t)], "k int, text string"), ["k"]).where("work = 'bg'").first()
-    assert x["canonical"] == "БГ 2.13" and not x["needs_normalization"]
-
-
-@settings(max_examples=8, deadline=None)
-@given(st.lists(st.sampled_from("abc"), max_size=8), st.lists(st.sampled_from("abc"), max_size=8))
-def test_alignment(spark, a, b):
-    side = lambda s: spark.createDataFrame([(1, k + 1, x) for k, x in enumerate(s)], "d int, o int, v string")
-    got = [(r["tag"], r["i1"], r["i2"], r["j1"], r["j2"]) for r in alignment.opcodes(side(a), side(b), "d", "o", "v").orderBy("seq").collect()]
-    assert got == SequenceMatcher(a=a, b=b, autojunk=False).get_opcodes()
-
-
-def test_projection(spark):
-    pairs = spark.createDataFrame([(1, 2, 3), (1, 5, 6)], "d int, i int, j int")
-    ranges = spark.createDataFrame([(1, 1, 1), (1, 2, 4), (1, 3, 4), (1, 6, 7)], "d int, lo int, hi int")
-    got = {(r["lo"], r["hi"]): (r["target_lo"], r["target_hi"]) for r in alignment.projected(ranges, pairs, spark.createDataFrame([(1, 8)], "d int, total int"), "d").collect()}
-    assert got == {(1, 1): (3, 3), (2, 4): (3, 3), (3, 4): (4, 4), (6, 7): (6, 6)}
-
-
-def test_styles_see_styles_before(spark):
-    p = [(1, 1, "dharma kṣetre kuru kṣetre", "Normal", 0), (1, 2, "«A translation of it.»", "Normal", 0), (1, 3, "Heading", "Heading 1", 0), (1, 4, "«Words.»", "Normal", 0), (1, 5, "plain prose goes on.", "Normal", 100)]
-    df = spark.createDataFrame(p, "d int, o int, text string, style_name string, indent int")
-    assert [r["style"] for r in classify.styles(df, "d", "o").orderBy("o").collect()] == ["shloka", "shloka_translation", "heading 1", "quote1", "quote1"]
-    assert one(spark, "Kṛṣṇa й ё видйа́ r̄ р̣ши", diacritics.without_marks) == "Kришн\u0061 й ё видья r риши"
-
-
 def test_issues(spark):
     assert [r[0] for r in spark.createDataFrame([("ERROR ",), ("odd",), (None,)], "s string").select(issues.severity(F.col("s"))).collect()] == ["error", "warning", "warning"]
     df = spark.createDataFrame([(1, 1, "A"), (1, 2, "a"), (2, 3, "b")], "k int, o int, message string")
