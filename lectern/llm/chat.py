@@ -30,7 +30,7 @@ _SAYS = re.compile(r"[^\n]{0,200}\b(?:wrote|schrieb|écrit|escribió)\s*:\s*")
 def parse(text: str | None) -> tuple[str, list[tuple[int, list[str]]]]:
     """A message's own words, without the line that introduces a quotation; and quoted passages as (level, lines)."""
     own, quotes, last = [], [], 0
-    for line in (text or "").splitlines():
+    for line in (text or "").split("\n"):
         if m := _QUOTED.match(line):
             level = m[1].count(">")
             if level == last:
@@ -84,7 +84,7 @@ def linked(messages: DataFrame) -> DataFrame:
     role and text. Null conv_id: one conversation of its own. Null turn: before all others. Null role: user. Null
     text: empty. A quotation that nothing earlier holds: dropped, without a link; so is a part of one, paragraph or
     line, of fewer than SHORTEST characters, while a whole message that is quoted as a whole may have any length.
-    Repeated rows: kept. Very long texts: whole. Other columns are ignored.
+    Repeated rows: kept, each with its own links. Lines end at line feeds only. Very long texts: whole. Other columns are ignored.
 
     No step needs a conversation in one task: neighbours and positions come from ranks over the whole table, and
     quotations are joined to originals by conversation and hash.
@@ -94,16 +94,17 @@ def linked(messages: DataFrame) -> DataFrame:
     rows = messages.select(F.coalesce("conv_id", F.lit(lowest)).alias("c"), F.coalesce("turn", F.lit(lowest)).alias("t"), F.coalesce("role", F.lit("user")).alias("role"), "text")
     rows = ranked(rows.mapInArrow(_parsed, "c long, t long, role string, own string, held array<long>, asked array<struct<level:int,rank:int,h:long>>"), ["c", "t", "role", "own"], "r")
     rows = stored(rows, f"{base}/rows")
-    asked = rows.select("c", "t", F.explode("asked").alias("q")).select("c", "t", "q.level", "q.rank", "q.h")
+    # Of several messages of one turn each has its own quotations: r tells them apart.
+    asked = rows.select("c", "t", "r", F.explode("asked").alias("q")).select("c", "t", "r", "q.level", "q.rank", "q.h")
     wanted = asked.select("c", "h").distinct()
     held = rows.select("c", "t", F.explode("held").alias("h")).distinct().join(wanted, ["c", "h"], "left_semi")
-    both = asked.withColumn("source", F.lit(None).cast("long")).unionByName(held.withColumns({"level": F.lit(None).cast("int"), "rank": F.lit(None).cast("int"), "source": F.col("t")}))
+    both = asked.withColumn("source", F.lit(None).cast("long")).unionByName(held.withColumns({"r": F.lit(None).cast("long"), "level": F.lit(None).cast("int"), "rank": F.lit(None).cast("int"), "source": F.col("t")}))
     # A question of a turn stands before what the same turn holds.
     before = Window.partitionBy("c", "h").orderBy("t", F.col("source").isNotNull()).rowsBetween(Window.unboundedPreceding, -1)
     found = both.withColumn("target", F.last("source", ignorenulls=True).over(before)).where("level is not null and target is not null")
-    links = found.groupBy("c", "t").agg(F.min(F.struct("level", "rank", (-F.col("target")).alias("late"))).alias("best")).select("c", "t", (-F.col("best.late")).alias("target"))
+    links = found.groupBy("c", "r").agg(F.min(F.struct("level", "rank", (-F.col("target")).alias("late"))).alias("best")).select("c", "r", (-F.col("best.late")).alias("target"))
     previous = rows.select("c", (F.col("r") + 1).alias("r"), F.col("t").alias("previous"))
-    x = rows.drop("held", "asked").join(previous, ["c", "r"], "left").join(links, ["c", "t"], "left")
+    x = rows.drop("held", "asked").join(previous, ["c", "r"], "left").join(links, ["c", "r"], "left")
     x = x.withColumn("parent", F.coalesce("target", "previous"))
     x = ranked(x.withColumn("key", F.coalesce("parent", F.lit(lowest))), ["c", "key", "t", "r"], "at")
     x = stored(x, f"{base}/ordered")
