@@ -27,18 +27,51 @@ FEATURES, ADDED, WEIGHT = 1 << 16, 0.1, 1 / 3
 STRENGTH, DECLARED = 5.0, 4.0
 UNKNOWN, UNKNOWN_PRIOR = "und", 0.01
 
-_MARKUP = re.compile(rb"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
-_DECLARED = re.compile(rb"""(?is)<html\b[^>]*?\blang\s*=\s*["']?([a-z]{2,3})""")
+_HIDDEN = re.compile(rb"(?i)<(script|style)\b")
+_ENDS = {name: re.compile(rb"(?i)</" + name + rb"\s*>") for name in (b"script", b"style")}
+_HTML = re.compile(rb"(?i)<html\b")
+_LANG = re.compile(rb"""(?i)\blang\s*=\s*["']?([a-z]{2,3})""")
+
+
+def without_markup(page: bytes) -> bytes:
+    """The page with a space for each script, style, comment and tag. One pass: an end that is missing is looked for once."""
+    out, at, missing = [], 0, set()
+    while (i := page.find(b"<", at)) >= 0:
+        end = -1
+        if (m := _HIDDEN.match(page, i)) and (name := m[1].lower()) not in missing:
+            found = _ENDS[name].search(page, m.end())
+            end = found.end() if found else -1
+            if not found:
+                missing.add(name)
+        elif page.startswith(b"<!--", i) and b"--" not in missing:
+            end = page.find(b"-->", i + 4) + 3
+            if end < 3:
+                missing.add(b"--")
+                end = -1
+        if end < 0:
+            end = page.find(b">", i) + 1
+        if not end:
+            break
+        out += [page[at:i], b" "]
+        at = end
+    return b"".join([*out, page[at:]])
 
 
 def page_text(page: bytes | None) -> bytes:
     """What a reader sees of a page: without markup, scripts and comments; entities resolved."""
-    return html.unescape(_MARKUP.sub(b" ", page or b"").decode("utf-8", "replace")).encode()
+    return html.unescape(without_markup(page or b"").decode("utf-8", "replace")).encode()
 
 
 def declared_language(page: bytes | None) -> str | None:
-    m = _DECLARED.search(page or b"")
-    return m[1].decode().lower() if m else None
+    """The language that the page's html tag declares. Each tag is read once, to its end."""
+    page, at = page or b"", 0
+    while m := _HTML.search(page, at):
+        end = page.find(b">", m.end())
+        end = len(page) if end < 0 else end
+        if lang := _LANG.search(page, m.end(), end):
+            return lang[1].decode().lower()
+        at = end
+    return None
 
 
 def trigrams(text: bytes | None) -> np.ndarray:
