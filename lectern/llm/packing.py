@@ -13,7 +13,7 @@ from bisect import bisect_left, insort
 from collections import Counter
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import SPACES
@@ -73,7 +73,9 @@ def packed(docs: DataFrame, capacity: int = CAPACITY, quota: int = QUOTA, group:
     size = F.col(length) if length else F.when(plain == "", 1).otherwise(F.length(plain) - F.length(F.replace(plain, F.lit(" "))) + 2)
     rows = docs.select("doc_id", "source", size.cast("long").alias("size"), (F.col(cluster).cast("string") if cluster else F.hex(F.xxhash64(plain))).alias("cluster"))
     groups = max(1, -(-docs.count() // group))
-    rows = rows.withColumn("grp", F.pmod(F.xxhash64("doc_id", "size", "cluster"), F.lit(groups)))  # of whole documents; pieces that fill a bin go elsewhere
+    # Equal rows are counted, then numbered: copies are dealt to groups like other rows, or all would conflict in one.
+    rows = rows.groupBy("doc_id", "source", "size", "cluster").agg(F.count("*").alias("copies")).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    rows = rows.withColumn("grp", F.pmod(F.xxhash64("doc_id", "size", "cluster", "copy"), F.lit(groups)))  # of whole documents; pieces that fill a bin go elsewhere
     pieces = F.sequence(F.lit(0).cast("long"), F.greatest(F.floor((F.col("size") - 1) / capacity), F.lit(0).cast("long")))
     rows = rows.withColumn("piece", F.explode(pieces)).withColumn("start", F.col("piece") * capacity).withColumn("n_tokens", F.least(F.lit(capacity).cast("long"), F.col("size") - F.col("start")))
     full = F.col("n_tokens") == capacity
@@ -86,6 +88,6 @@ def packed(docs: DataFrame, capacity: int = CAPACITY, quota: int = QUOTA, group:
 
     schema = "doc_id long, piece long, start long, n_tokens long, bin string, bin_offset long"
     # A piece that fills a bin needs no search and no task of its own.
-    nth = F.row_number().over(Window.partitionBy("doc_id", "piece").orderBy("size", "cluster"))
-    own = rows.where(full).withColumn("nth", nth).select("doc_id", "piece", "start", "n_tokens", F.concat_ws("/", F.lit("full"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), "piece", "nth").alias("bin"), F.lit(0).cast("long").alias("bin_offset"))
-    return rows.where(~full).groupBy("grp").applyInPandas(pack, schema).unionByName(own)
+    name = F.concat_ws("/", F.lit("full"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), "piece", F.hex(F.xxhash64("source", "size", "cluster")), "copy")
+    own = rows.where(full).select("doc_id", "piece", "start", "n_tokens", name.alias("bin"), F.lit(0).cast("long").alias("bin_offset"))
+    return rows.where(~full).select("doc_id", "source", "cluster", "grp", "piece", "start", "n_tokens").groupBy("grp").applyInPandas(pack, schema).unionByName(own)
