@@ -39,15 +39,18 @@ def candidate_text(c: Column, unwrap: bool = True) -> Column:
     def unescaped(x: pd.Series) -> pd.Series:
         return x.map(lambda s: s and html.unescape(s))
 
+    def bare(x: Column) -> Column:
+        x = F.trim(F.regexp_replace(x, r"[\s\x{a0}]+", " "))
+        return F.regexp_replace(F.regexp_replace(x, "^[\"'«„“”]+", ""), "[\"'»“”.,;:!?]+$", "")
+
+    def unwrapped(x: Column) -> Column:
+        one = x.startswith("(") & x.endswith(")") & (F.length(x) - F.length(F.translate(x, "()", "")) == 2)
+        return F.when(one, F.substring(x, F.lit(2), F.length(x) - 2)).otherwise(x)
+
     c = F.coalesce(c, F.lit(""))
-    # Python gets nulls but where there is an entity.
-    c = F.coalesce(unescaped(F.when(F.instr(c, "&") > 0, c)), c)
-    c = F.trim(F.regexp_replace(c, r"[\s ]+", " "))
-    c = F.regexp_replace(F.regexp_replace(c, "^[\"'«„“”]+", ""), "[\"'»“”.,;:!?]+$", "")
-    if unwrap:
-        one = c.startswith("(") & c.endswith(")") & (F.length(c) - F.length(F.translate(c, "()", "")) == 2)
-        c = F.when(one, F.substring(c, F.lit(2), F.length(c) - 2)).otherwise(c)
-    return F.trim(c)
+    # Python gets nulls but where there is an entity. What follows is bound to a lambda's variable and worked out once.
+    c = bare(F.coalesce(unescaped(F.when(F.instr(c, "&") > 0, c)), c))
+    return F.trim(F.get(F.transform(F.array(c), unwrapped), F.lit(0)) if unwrap else c)
 
 
 def pack_words(c: Column) -> Column:

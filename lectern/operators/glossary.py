@@ -38,9 +38,10 @@ def approved_form(candidates: DataFrame, key_of: Column, hint_of: Column | None
     Of variants whose own key (or, by hint_of, their hint's) it is: one whose own key it is, unmarked, short, in lower
     case, frequent. If there are none: one that is unmarked, frequent, short.
     """
-    n = candidates.groupBy("key", "variant").agg(F.count("*").alias("n"))
-    own = key_of == F.col("key")
-    fits = own if hint_of is None else own | (hint_of == F.col("key"))
+    keyed = candidates.withColumns({"_own": key_of, "_hint": F.lit(None).cast("string") if hint_of is None else hint_of})
+    n = keyed.groupBy("key", "variant").agg(F.count("*").alias("n"), F.first("_own").alias("_own"), F.first("_hint").alias("_hint"))
+    own, hint_of = F.col("_own") == F.col("key"), None if hint_of is None else F.col("_hint")
+    fits = own if hint_of is None else own | F.coalesce(hint_of == F.col("key"), F.lit(False))
     marks, upper = F.col("variant").rlike(f"[{tx.MARKS}{tx.LATIN_MARKED}]"), F.substring("variant", 1, 1).rlike(r"\p{Lu}")
     number = lambda c: c.cast("long")
     pick = lambda a, b, name: F.when(fits, number(a)).otherwise(number(b)).alias(name)

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from lectern.functions import hints as hn
 from lectern.functions import text as tx
+from lectern.operators import candidates as cd
 from lectern.operators import glossary as gl
 from lectern.operators import issues as iss
 from lectern.operators import pairing as pr
@@ -88,23 +90,78 @@ def hint_first_match(spark, sf_dir):
     return b.where("rule is not null").select("doc_id", "block_index", "rule")
 
 
-# ---- term candidates: long words, by key in lower case -------------------------------------------
-
-_CANDIDATES = BLOCKS + r""", w AS (SELECT doc_id, lang, block_index, unnest(regexp_extract_all(text, '[A-Za-z]{9,}')) AS variant, unnest(range(1, len(regexp_extract_all(text, '[A-Za-z]{9,}')) + 1)) AS pos FROM b),
-c AS (SELECT lower(variant) AS key, variant, lang AS source_label, CASE WHEN ends_with(lower(variant), 'tion') THEN 'philosophical_term' WHEN ends_with(lower(variant), 'ing') THEN 'place_name' ELSE 'other' END AS category,
- CASE WHEN block_index = 1 THEN 'glossary_headword' ELSE 'italic' END AS kind, block_index > 1 AS italic, doc_id AS file, lang || ':' || doc_id AS example, (doc_id * 1000000 + block_index * 1000 + pos)::BIGINT AS seen FROM w)"""
+# ---- term candidates: lines of documents, some of which explain a term or have italics --------------------------------
+
+#: Heads of entries and italic fragments, taken in turn; some are no terms, or not all of them.
+HEADS = ("Вриндаван", "Вриндавана", "Майяпур (Навадвип, Пури)", "Бхакти-йога, преданное служение", "Шри Кришна", "Веданта", "Веды", "Ашрам", "СССР", "Дом", "и веда", "Говинда (ISKCON)", "Харе Кришна", "Радха-кунд", "Майяпур")
+ITALICS = ("бхакти", "санньяси", "вайшнавы", "Гуны", "гуна", "экадаши,", "слово", "шри", "вриндаван", "лила 5", "ведический", "веда/веды", "Харе кришна", "бхакти-лата", "ачарьев", "дхама", "Гуна", "-юга", "bhakti", "майапур", "ашрамы", "чайтанья-чаритамриты")
+_HEAD_OF = f"list_extract([{', '.join(f"'{h}'" for h in HEADS)}], CAST((3 * doc_id + block_index) % {len(HEADS)} + 1 AS INT))"
+_FRAGMENT = f"list_extract([{', '.join(f"'{h}'" for h in ITALICS)}], CAST((5 * doc_id + 7 * block_index + _N_) % {len(ITALICS)} + 1 AS INT))"
+
+
+def glossary_blocks(spark, sf_dir):
+    """Every third block explains a term, every second has one or two italic fragments."""
+    b = document_blocks(spark, sf_dir)
+    pick = lambda words, n: F.get(F.array(*map(F.lit, words)), (n % len(words)).cast("int"))
+    d, i = F.col("doc_id"), F.col("block_index")
+    text = F.when(i % 3 == 0, F.concat(pick(HEADS, 3 * d + i), F.when(i % 2 == 0, " — ").otherwise(" – "), "text")).otherwise(F.col("text"))
+    one, two = pick(ITALICS, 5 * d + 7 * i), pick(ITALICS, 5 * d + 7 * i + 3)
+    italics = F.when(i % 4 == 0, F.array(one, two)).when(i % 2 == 0, F.array(one)).otherwise(F.array().cast("array<string>"))
+    return b.select("doc_id", "lang", "block_index", text.alias("text"), italics.alias("italics"))
+
+
+def _said(group: str) -> str:
+    stems = [hn.plain_key(h) for h in hn.HINTS[group]]
+    return "(" + " OR ".join([f"len(list_filter(parts, lambda p: {' OR '.join(f'starts_with(p, {chr(39)}{h}{chr(39)})' for h in stems if ' ' not in h)})) > 0"] + [rf"regexp_matches(k, '(^|[^a-zа-яё]){h}($|[^a-zа-яё])')" for h in stems if " " in h]) + ")"
+
+
+def _base_sql() -> str:
+    """The first hint that stands for a key `k`."""
+    out, skip = [], {hn.plain_key(h) for h in hn.NO_BASE}
+    for h in [h for stems in hn.HINTS.values() for h in stems if " " not in h]:
+        norm, fits = hn.plain_key(h), []
+        if norm not in skip:
+            fits += [f"starts_with(k, '{norm}')"] if len(norm) >= 5 else []
+            fits += [f"starts_with(k, '{norm[:-1]}')"] if len(norm) >= 6 and norm[-1] in hn.VOWELS else []
+        free = "" if "-" in norm else "NOT contains(k, '-') AND "
+        out.append(f"WHEN k = '{norm}'" + (f" OR {free}({' OR '.join(fits)})" if fits else "") + f" THEN '{h}'")
+    return "CASE WHEN contains(k, ' ') THEN '' " + " ".join(out) + " ELSE '' END"
+
+
+_KEY = "replace(lower(translate(V, 'йЙёЁ', 'иИеЕ')), '–', '-')"
+_EDGES = "trim(regexp_replace(regexp_replace(trim(V), '^[\"''«„“”]+', ''), '[\"''»“”.,;:!?]+$', ''))"
+_CANDIDATES = (
+    BLOCKS
+    + rf""", gb AS (SELECT doc_id, lang, block_index, CASE WHEN block_index % 3 = 0 THEN {_HEAD_OF} || CASE WHEN block_index % 2 = 0 THEN ' — ' ELSE ' – ' END || text ELSE text END AS text,
+ CASE WHEN block_index % 4 = 0 THEN [{_FRAGMENT.replace('_N_', '0')}, {_FRAGMENT.replace('_N_', '3')}] WHEN block_index % 2 = 0 THEN [{_FRAGMENT.replace('_N_', '0')}] ELSE []::VARCHAR[] END AS italics FROM b),
+t0 AS (SELECT *, {_EDGES.replace('V', 'text')} AS clean FROM gb), h0 AS (SELECT *, {_EDGES.replace('V', "regexp_extract(clean, '^([A-ZА-ЯЁ«][^—–-]{1,120}?)[ ]+[—–-][ ]+.+$', 1)")} AS head FROM t0 WHERE length(clean) <= 240),
+h1 AS (SELECT *, string_split(head, ' ') AS ws FROM h0 WHERE head <> ''), h2 AS (SELECT * FROM h1 WHERE len(ws) <= 4 AND lower(ws[1]) NOT IN ({', '.join(f"'{c}'" for c in hn.CONJUNCTIONS)}) AND NOT (len(ws) > 1 AND regexp_matches(ws[1], '^\p{{Ll}}') AND NOT regexp_matches(head, '[-(]'))),
+h3 AS (SELECT doc_id, lang, block_index, clean[1:120] AS context, list_distinct(list_filter(list_concat([head], CASE WHEN regexp_matches(head, '^[^()]+\([^()]+\)$') THEN list_concat([trim(regexp_extract(head, '^([^()]+)\(', 1))], list_transform(regexp_split_to_array(regexp_extract(head, '\(([^()]+)\)$', 1), '[,;/]'), lambda x: trim(x))) ELSE []::VARCHAR[] END,
+ CASE WHEN contains(head, ',') AND length(head) <= 80 THEN list_filter(list_transform(string_split(head, ','), lambda x: trim(x)), lambda x: len(string_split(x, ' ')) <= 4) ELSE []::VARCHAR[] END), lambda x: x <> '')) AS vs FROM h2),
+i0 AS (SELECT doc_id, lang, block_index, unnest(italics) AS raw, unnest(range(len(italics))) AS pos FROM gb), i1 AS (SELECT *, {_EDGES.replace('V', 'raw')} AS variant FROM i0),
+u AS (SELECT doc_id, lang, block_index, 'glossary_headword' AS kind, false AS italic, variant, context FROM (SELECT *, unnest(vs) AS variant FROM h3) UNION ALL SELECT doc_id, lang, block_index, 'italic', true, variant, variant[1:120] FROM i1),
+ff AS (SELECT * FROM u WHERE length(variant) BETWEEN 2 AND 120 AND length(variant) - length(replace(variant, ' ', '')) <= 8 AND NOT (upper(regexp_replace(variant, '[^A-Za-zА-Яа-яЁё]', '', 'g')) = regexp_replace(variant, '[^A-Za-zА-Яа-яЁё]', '', 'g') AND length(regexp_replace(variant, '[^A-Za-zА-Яа-яЁё]', '', 'g')) BETWEEN 1 AND 5)
+ AND NOT regexp_matches(variant, '[<>()@\dA-Za-z]') AND regexp_matches(variant, '^[А-Яа-яЁё]') AND (NOT italic OR (length(variant) - length(replace(variant, ' ', '')) <= 2 AND NOT regexp_matches(variant, '[,;:/.…]|-$')))),
+n0 AS (SELECT *, {_KEY.replace('V', 'variant')} AS k FROM (SELECT DISTINCT variant FROM ff)), n1 AS (SELECT *, flatten(list_transform(regexp_extract_all(k, '[a-zа-яё-]+'), lambda w: list_concat([w], string_split(w, '-')))) AS parts FROM n0),
+nn AS (SELECT variant, k, CASE {' '.join(f"WHEN {_said(g)} THEN '{g}'" for g in hn.HINTS)} END AS category, {_base_sql()} AS base FROM n1),
+c AS (SELECT CASE WHEN base <> '' THEN {_KEY.replace('V', 'base')} ELSE k END AS key, ff.variant, lang AS source_label, category, kind, italic, doc_id AS file, lang || ':' || doc_id || ':' || context AS example, (doc_id * 100000 + block_index * 10 + CASE WHEN italic THEN 5 ELSE 0 END)::BIGINT AS seen FROM ff JOIN nn ON nn.variant = ff.variant WHERE category IS NOT NULL)"""
+)
 
 
 def candidates(spark, sf_dir):
-    b = document_blocks(spark, sf_dir).select("doc_id", "lang", "block_index", F.posexplode(F.regexp_extract_all("text", F.lit("([A-Za-z]{9,})"), 1)).alias("pos", "variant"))
-    key = F.lower("variant")
-    return b.select(
-        key.alias("key"), "variant", F.col("lang").alias("source_label"), F.when(key.endswith("tion"), "philosophical_term").when(key.endswith("ing"), "place_name").otherwise("other").alias("category"),
-        F.when(F.col("block_index") == 1, "glossary_headword").otherwise("italic").alias("kind"), (F.col("block_index") > 1).alias("italic"), F.col("doc_id").alias("file"),
-        F.concat_ws(":", "lang", F.col("doc_id").cast("string")).alias("example"), (F.col("doc_id") * 1000000 + F.col("block_index") * 1000 + F.col("pos") + 1).alias("seen"),
+    found = cd.from_blocks(glossary_blocks(spark, sf_dir), cd.hint_table(spark), ["doc_id", "lang", "block_index"])
+    return found.select(
+        "key", "variant", F.col("lang").alias("source_label"), "category", "kind", "italic", F.col("doc_id").alias("file"), F.concat_ws(":", "lang", F.col("doc_id").cast("string"), "context").alias("example"),
+        (F.col("doc_id") * 100000 + F.col("block_index") * 10 + F.when(F.col("italic"), 5).otherwise(0)).alias("seen"),
     )
 
 
+@query(_CANDIDATES + " SELECT key, variant, source_label, category, kind, italic, file, example FROM c")
+def term_candidates(spark, sf_dir):
+    """Every term that an entry explains or that stands in italics, with its key and category."""
+    return candidates(spark, sf_dir).drop("seen")
+
+
 _AGGREGATE = _CANDIDATES + """, v AS (SELECT key, variant, count(*) AS n, min(seen) AS first FROM c GROUP BY key, variant),
 rv AS (SELECT key, count(*) AS variant_count, string_agg(variant || ' [' || n || ']', ' | ' ORDER BY n DESC, first) AS variants FROM v GROUP BY key),
 e AS (SELECT key, example, min(seen) AS s FROM c GROUP BY key, example), e5 AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY s) AS k FROM e),
@@ -120,9 +177,15 @@ def candidate_aggregate(spark, sf_dir):
     return gl.candidate_aggregate(candidates(spark, sf_dir)).select("key", "n", "italic_count", "plain_count", "files", "headwords", "category", "examples", "variant_count", "variants")
 
 
-@query(_CANDIDATES + ", v AS (SELECT key, variant, count(*) AS n FROM c GROUP BY key, variant) SELECT key, variant AS approved_form FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY length(variant), regexp_matches(variant, '^[A-Z]'), n DESC, variant) AS k FROM v) WHERE k = 1")
+@query(
+    _CANDIDATES
+    + f""", v AS (SELECT key, variant, count(*) AS n FROM c GROUP BY key, variant), w AS (SELECT v.*, nn.k = key AS own, nn.k = key OR (nn.base <> '' AND {_KEY.replace('V', 'nn.base')} = key) AS fits FROM v JOIN nn ON nn.variant = v.variant)
+SELECT key, variant AS approved_form FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY NOT fits, CASE WHEN fits THEN NOT own ELSE false END, CASE WHEN fits THEN 0 ELSE -n END, length(variant), regexp_matches(variant, '^[А-ЯA-Z]'), -n, variant) AS k FROM w) WHERE k = 1"""
+)
 def approved_form(spark, sf_dir):
-    return gl.approved_form(candidates(spark, sf_dir), F.lower("variant"))
+    hint = F.when(F.col("base") != "", hn.normal_key(F.col("base")))
+    known = cd.described(candidates(spark, sf_dir), cd.hint_table(spark), "variant").select(F.col("term").alias("variant"), F.col("key").alias("own_key"), hint.alias("hint_key"))
+    return gl.approved_form(candidates(spark, sf_dir).join(known, "variant"), F.col("own_key"), F.col("hint_key"))
 
 
 def _terms(spark, sf_dir):
@@ -144,7 +207,7 @@ def numbered_terms(spark, sf_dir):
 _TRIAGE = "CASE WHEN conflict AND high THEN 'review/high' WHEN conflict THEN 'review/medium' WHEN high THEN 'keep/medium' WHEN italic_required = 'conditional' THEN 'review/medium' ELSE 'review/low' END"
 
 
-@query(_AGGREGATE + f", r AS (SELECT *, variant_count > 1 OR italic_required = 'conditional' AS conflict, category IN ('philosophical_term', 'place_name') AS high FROM t) SELECT key, conflict, {_TRIAGE} AS suggestion FROM r")
+@query(_AGGREGATE + f", r AS (SELECT *, variant_count > 1 OR italic_required = 'conditional' AS conflict, category <> 'other' AS high FROM t) SELECT key, conflict, {_TRIAGE} AS suggestion FROM r")
 def review_triage(spark, sf_dir):
     t = _terms(spark, sf_dir)
     conflicts = t.where("variant_count > 1 or italic_required = 'conditional'").select("key", F.lit(True).alias("c"))
@@ -153,7 +216,7 @@ def review_triage(spark, sf_dir):
     return x.withColumn("s", s).select("key", "conflict", F.concat_ws("/", "s.action", "s.priority").alias("suggestion"))
 
 
-@query(_AGGREGATE + f", r AS (SELECT *, variant_count > 1 OR italic_required = 'conditional' AS conflict, category IN ('philosophical_term', 'place_name') AS high FROM t), s AS (SELECT category, {_TRIAGE} AS suggestion FROM r) SELECT category, suggestion, count(*) AS n FROM s GROUP BY GROUPING SETS ((category), (suggestion), ())")
+@query(_AGGREGATE + f", r AS (SELECT *, variant_count > 1 OR italic_required = 'conditional' AS conflict, category <> 'other' AS high FROM t), s AS (SELECT category, {_TRIAGE} AS suggestion FROM r) SELECT category, suggestion, count(*) AS n FROM s GROUP BY GROUPING SETS ((category), (suggestion), ())")
 def review_histograms(spark, sf_dir):
     t = _terms(spark, sf_dir).withColumn("conflict", F.expr("variant_count > 1 or italic_required = 'conditional'"))
     s = gl.triage(F.col("key"), F.col("category"), F.col("italic_required"), F.lit(""), F.when(F.col("conflict"), "needs_review").otherwise("draft"), F.col("conflict"))
