@@ -20,12 +20,19 @@ def with_issues(blocks: DataFrame, issues: DataFrame, keys: list[str], order: li
     return blocks.join(own, keys, "left").withColumn("issues", F.coalesce(pick, F.array().cast("array<struct<issue_id:string,kind:string,severity:string>>"))).drop("_i")
 
 
+def checked(df: DataFrame, holds: Column, message: Column) -> DataFrame:
+    """df; fails if `holds` is not true in a row that an action reads.
+
+    The check is the condition of a filter, not a column: it stays when columns are pruned, and count() needs it as well.
+    """
+    return df.where(F.when(F.coalesce(holds, F.lit(False)), F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
+
+
 def whole_pairs(left: DataFrame, right: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
     """The pairs of the wanted keys; fails if a side lacks one."""
     l, r = left.withColumn("_l", F.lit(True)), right.withColumn("_r", F.lit(True))
     x = wanted.select(key).distinct().join(l, key, "left").join(r, key, "left")
-    sure = F.when(F.col("_l").isNull() | F.col("_r").isNull(), F.raise_error(F.concat(F.lit("missing pair for section "), F.col(key).cast("string")))).otherwise(F.col(key))
-    return x.withColumn(key, sure).drop("_l", "_r")
+    return checked(x, F.col("_l").isNotNull() & F.col("_r").isNotNull(), F.concat(F.lit("missing pair for section "), F.coalesce(F.col(key).cast("string"), F.lit("null")))).drop("_l", "_r")
 
 
 def extra_bundles(files: DataFrame, folder: str = "folder", name: str = "name") -> DataFrame:
@@ -36,9 +43,10 @@ def extra_bundles(files: DataFrame, folder: str = "folder", name: str = "name")
     return x.groupBy(folder, "key").agg(F.min_by(name, "_r").alias(name))
 
 
-def one_reference(found: Column) -> Column:
-    """The only reference of a text; fails if there is none or several. found: array of references."""
-    return F.when(F.size(found) == 1, F.element_at(found, 1)).when(F.size(found) == 0, F.raise_error(F.lit("no reference")).cast("string")).otherwise(F.raise_error(F.lit("several references")).cast("string"))
+def with_one_reference(texts: DataFrame, found: Column, name: str = "reference") -> DataFrame:
+    """texts with the only reference of each; fails if there is none or several. found: an array of references."""
+    n = F.size(found)
+    return checked(texts, n == 1, F.when(n > 1, "several references").otherwise("no reference")).withColumn(name, F.get(found, F.lit(0)))
 
 
 def priority_histogram(issues: DataFrame, priority: str = "priority") -> DataFrame:

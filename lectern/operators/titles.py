@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.functions import text as tx
+from lectern.operators.lookups import checked
 
 
 def title_key(c: Column) -> Column:
@@ -61,5 +62,4 @@ def placed(titles: Column, blocks: Column) -> Column:
 def unique_match(blocks: DataFrame, keys: list[str], order: str, test: Column) -> DataFrame:
     """keys and the one block that matches; a key with none or several fails the job."""
     x = blocks.groupBy(*keys).agg(F.count_if(test).alias("n"), F.min(F.when(test, F.col(order))).alias(order))
-    ok = F.when(F.col("n") == 1, F.col(order)).otherwise(F.raise_error(F.concat(F.lit("matches: "), F.col("n").cast("string"))))
-    return x.select(*keys, ok.alias(order))
+    return checked(x, F.col("n") == 1, F.concat(F.lit("matches: "), F.col("n").cast("string"))).select(*keys, order)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lectern.functions import forms as fm
+from lectern.functions import text as tx
 from lectern.operators import references as rf
 from lectern.sources import html as h
 from lectern.sources.tables import table, with_features
@@ -58,7 +59,8 @@ def page_type_grouping_sets(spark, sf_dir):
 def page_blocks(spark, sf_dir):
     """Blocks of every page with features; by a parser, so tests hold it against a plain one."""
     b = h.html_blocks(table(spark, sf_dir, "pages"), "page_id", "html").where("error is null")
-    return with_features(b).select("page_id", "block_index", "section", "kind", "word_count", "digit_signature", F.size("italics").alias("italics"))
+    b = with_features(b).withColumn("kind", tx.section_kind(F.col("section"), F.col("text"), F.col("kind")))
+    return b.select("page_id", "block_index", "section", "kind", "word_count", "digit_signature", F.size("italics").alias("italics"))
 
 
 # The tables hold no references, so each message gets two of its own.

@@ -106,10 +106,6 @@ def test_checked_joins(spark):
     with pytest.raises(Exception, match="missing pair for section 3"):
         lk.whole_pairs(a, a.select("k", F.col("v").alias("w")), spark.createDataFrame([(1,), (3,)], "k int"), "k").collect()
     assert [tuple(r) for r in lk.first_of_each(a, spark.createDataFrame([(2, "z"), (3, "z")], "k int, v string"), ["k"]).orderBy("k").collect()] == [(1, "x"), (2, "y"), (3, "z")]
-    assert one(spark, ["r"], lk.one_reference, "array<string>") == "r"
-    for refs, said in (([], "no reference"), (["a", "b"], "several references")):
-        with pytest.raises(Exception, match=said):
-            one(spark, refs, lk.one_reference, "array<string>")
     applied = spark.createDataFrame([(1, "applied"), (2, "skipped"), (3, "applied"), (4, "applied")], "k int, status string")
     got = lk.review_outcome(applied, spark.createDataFrame([(3,)], "k int"), spark.createDataFrame([(1,), (2,), (3,)], "k int"), ["k"]).orderBy("k").collect()
     assert [(r["comments"], r["problem"]) for r in got] == [(1, None), (0, "skipped comments"), (1, "has comments already"), (1, "no bundle")]
