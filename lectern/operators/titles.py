@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lectern.functions import forms as fm
 from lectern.functions import text as tx
 from lectern.operators.lookups import checked
 
@@ -20,9 +24,24 @@ def is_candidate(cleaned: Column, most: int = 160) -> Column:
     return (cleaned != "") & (F.length(cleaned) <= most) & (n <= 18) & ~cleaned.rlike("[.;:,]$")
 
 
+def match_text(c: Column) -> Column:
+    """Text as titles and page lines are compared: compatibility forms, no punctuation but in words, title_key's case and letters.
+
+    Python gets nulls but where there is a letter or sign that has such a form.
+    """
+
+    @F.pandas_udf("string")
+    def compatible(x: pd.Series) -> pd.Series:
+        return x.map(lambda s: s and unicodedata.normalize("NFKC", s))
+
+    c = fm.page_line(F.coalesce(c, F.lit("")))
+    c = F.coalesce(compatible(F.when(c.rlike(r"[^\x00-\x7FА-Яа-яЁё«»„“”–—’]"), c)), c)
+    return F.translate(F.lower(tx.clean(F.regexp_replace(c, r"[^\p{L}\p{N}_\s/’'&-]+", " "))), "ё", "е")
+
+
 def matches(title: Column, line: Column) -> Column:
-    """Equal, or one begins with the other where the shorter has eight characters or more."""
-    return (title == line) | ((F.length(title) >= 8) & line.startswith(title)) | ((F.length(line) >= 8) & title.startswith(line))
+    """Equal, or one begins with the other; both are match_texts. Nothing matches an empty one."""
+    return (title != "") & (line != "") & (line.startswith(title) | title.startswith(line))
 
 
 def contents_region(blocks: DataFrame, keys: list[str], order: str, start: Column, candidate: Column) -> DataFrame:
@@ -45,18 +64,25 @@ def continued(lines: Column, most: int = 180) -> Column:
     return F.aggregate(lines, F.array().cast("array<string>"), step)
 
 
-def placed(titles: Column, blocks: Column) -> Column:
-    """For each title in order the first block after the last one found: array of (title, at), at null if there is none.
+def placed(titles: DataFrame, blocks: DataFrame, keys: list[str], begin: int = 0) -> DataFrame:
+    """keys, no, title, at: for each title in order the first block behind the last one found, at null if there is none.
 
-    titles: array of keys; blocks: array of (at, key) in order. A title that is not found leaves the cursor where it is.
+    titles: keys, no, title (a key); blocks: keys, at, key. A title that is not found leaves the cursor where it is. An
+    equi-join makes a table of each title's places; a document's row holds its titles and these places, never its blocks,
+    and each place is looked at once, by its own title.
     """
-    start = F.struct(F.lit(0).cast("int").alias("cursor"), F.array().cast("array<struct<title:string,at:int>>").alias("out"))
-
-    def step(acc: Column, title: Column) -> Column:
-        hit = F.try_element_at(F.filter(blocks, lambda b: (b["at"] > acc["cursor"]) & (b["key"] == title)), F.lit(1))["at"].cast("int")
-        return F.struct(F.coalesce(hit, acc["cursor"]).alias("cursor"), F.array_append(acc["out"], F.struct(title.alias("title"), hit.alias("at"))).alias("out"))
-
-    return F.aggregate(titles, start, step)["out"]
+    spots = titles.select(*keys, "no", "title").join(blocks.select(*keys, F.col("key").alias("title"), "at"), [*keys, "title"])
+    spots = spots.where(F.col("at") >= begin).groupBy(*keys, "no").agg(F.array_sort(F.collect_list(F.col("at").cast("long"))).alias("spots"))
+    x = titles.select(*keys, "no", "title").join(spots, [*keys, "no"], "left")
+    start = F.struct(F.lit(begin - 1).cast("long").alias("cursor"), F.array().cast("array<bigint>").alias("out"))
+
+    def step(acc: Column, t: Column) -> Column:
+        hit = F.get(F.filter(F.coalesce(t["spots"], F.array().cast("array<bigint>")), lambda a: a > acc["cursor"]), F.lit(0))
+        bound = F.get(F.transform(F.array(hit), lambda h: F.struct(F.coalesce(h, acc["cursor"]).alias("cursor"), F.array_append(acc["out"], h).alias("out"))), F.lit(0))
+        return bound
+
+    docs = x.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("no", "title", "spots"))).alias("t")).withColumn("found", F.aggregate("t", start, step)["out"])
+    return docs.select(*keys, F.posexplode_outer("t").alias("_k", "x"), "found").select(*keys, F.col("x.no").alias("no"), F.col("x.title").alias("title"), F.get("found", "_k").alias("at"))
 
 
 def unique_match(blocks: DataFrame, keys: list[str], order: str, test: Column) -> DataFrame:

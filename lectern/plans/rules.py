@@ -11,6 +11,7 @@ from lectern.functions import text as tx
 from lectern.operators import lookups as lk
 from lectern.operators import producers as pd_
 from lectern.operators import semantic as sm
+from lectern.operators import titles as tl
 from lectern.sources.tables import table, text_blocks, with_features
 
 from .blocks import BLOCKS, ISSUES, document_blocks, stylistic
@@ -284,3 +285,26 @@ def preferred_sources(spark, sf_dir):
     names = F.create_map(*[F.lit(x) for kv in {"de": "vedabase_de", "es": "bvks_en", "fr": "our_fr"}.items() for x in kv])
     l = candidates(spark, sf_dir).select("key", F.coalesce(F.try_element_at(names, F.col("source_label")), F.col("source_label")).alias("label"))
     return l.groupBy("key").agg(F.min_by("label", F.struct(fm.source_priority(F.col("label")), "label")).alias("preferred_source"))
+
+
+# ---- titles: every fifth block of a document is a title of its contents, and so is one word of every seventh ------------
+
+_TITLES = (
+    BLOCKS
+    + """, t AS (SELECT doc_id, block_index * 2 AS no, lower(text) AS title FROM b WHERE block_index % 5 = 2 UNION ALL SELECT doc_id, block_index * 2 + 1, lower(string_split(text, ' ')[1]) FROM b WHERE block_index % 7 = 3),
+o AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY no) AS k FROM t), k AS (SELECT doc_id, block_index, lower(text) AS key FROM b)"""
+)
+
+
+@query(
+    _TITLES.replace("WITH parts", "WITH RECURSIVE parts", 1)
+    + """, walk AS (SELECT doc_id, 0::BIGINT AS k, 0::BIGINT AS no, '' AS title, 0::BIGINT AS cursor, NULL::BIGINT AS at_block FROM o WHERE k = 1
+UNION ALL SELECT o.doc_id, o.k, o.no, o.title, coalesce(f.hit, w.cursor), f.hit FROM walk w JOIN o ON o.doc_id = w.doc_id AND o.k = w.k + 1, LATERAL (SELECT min(block_index) AS hit FROM k WHERE k.doc_id = o.doc_id AND k.key = o.title AND k.block_index > w.cursor) f)
+SELECT doc_id, no, title, at_block FROM walk WHERE k > 0"""
+)
+def title_places(spark, sf_dir):
+    """Where each title of a document's contents is found again, in order."""
+    b = document_blocks(spark, sf_dir).select("doc_id", "block_index", F.lower("text").alias("key"))
+    i = F.col("block_index")
+    t = b.where(i % 5 == 2).select("doc_id", (i * 2).alias("no"), F.col("key").alias("title")).unionByName(b.where(i % 7 == 3).select("doc_id", (i * 2 + 1).alias("no"), F.get(F.split("key", " "), F.lit(0)).alias("title")))
+    return tl.placed(t, b.withColumnRenamed("block_index", "at"), ["doc_id"], 1).select("doc_id", F.col("no").cast("long").alias("no"), "title", F.col("at").alias("at_block"))
