@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from lectern.functions import diacritics as di
 from lectern.functions import styles as st
 from lectern.operators import classify as cl
+from lectern.operators import properties as pp
 from lectern.sources.tables import table
 
-from .blocks import SPACE
+from .blocks import BLOCKS, SPACE, document_blocks
 from .registry import registry
 from .rules import _L, _M, _list, _plain_sql
 
@@ -96,3 +97,57 @@ def style_hint_template(spark, sf_dir):
     """Every decision as a hint for an editor to change."""
     x = cl.hint_template(cl.semantic_styles(dressed_paragraphs(spark, sf_dir), ["doc_id"], "pos", HINTS), ["doc_id"], "pos")
     return x.select("doc_id", F.col("match.value").alias("value"), "style", "note", "old_style", "current_confidence")
+
+
+# ---- properties: every block is a paragraph of two runs, with properties by its place ------------------------------------
+
+_RUN_STYLES = {"k1": (pp.ITALIC, {"i": ""}), "em": ("Emphasis", {"i": ""}), "st": ("Strong", {"b": ""}), "fn": ("footnote reference", {})}
+_IDS = ["k1", "em", "st", "fn", "zz"]
+_PROPS = {"i": "(doc_id + 3 * block_index + run) % 4 = 0", "b": "(2 * doc_id + block_index + run) % 7 = 0", "color": "(doc_id + block_index + 2 * run) % 6 = 0"}
+_OFF = "(doc_id + block_index) % 5 = 0"
+_CHAR = f"CASE (doc_id + block_index + run) % 9 {' '.join(f'WHEN {k} THEN {chr(39)}{v}{chr(39)}' for k, v in enumerate(_IDS))} END"
+
+
+def property_runs(spark, sf_dir):
+    b = document_blocks(spark, sf_dir).select("doc_id", "block_index", "text", F.explode(F.array(F.lit(1), F.lit(2))).alias("run"))
+    entry = lambda k, test, v: F.when(F.expr(test), F.struct(F.lit(k).alias("k"), v.alias("v")))
+    switch = F.when(F.expr(_OFF), "0").otherwise("")
+    own = F.array_compact(F.array(*[entry(k, t, switch if k in pp.SWITCHES else F.lit("1")) for k, t in _PROPS.items()], entry("rStyle", f"({_CHAR}) IS NOT NULL", F.expr(_CHAR))))
+    return b.withColumn("props", F.map_from_entries(own))
+
+
+_RUNS = (
+    BLOCKS
+    + f""", r0 AS (SELECT doc_id, block_index, run FROM b, (VALUES (1), (2)) v(run)), r AS (SELECT *, {_OFF} AS off, {', '.join(f'{t} AS has_{k}' for k, t in _PROPS.items())}, {_CHAR} AS style FROM r0)
+"""
+)
+
+
+@query(
+    _RUNS
+    + """, c AS (SELECT 'removed' AS bucket, 'i' AS name FROM r WHERE has_i UNION ALL SELECT 'removed', 'b' FROM r WHERE has_b UNION ALL SELECT 'removed', 'color' FROM r WHERE has_color UNION ALL SELECT 'mapped', CASE style WHEN 'em' THEN 'Emphasis->Char Курсив' ELSE 'Strong->Char Полужирный' END FROM r WHERE style IN ('em', 'st') UNION ALL SELECT 'removed_style', style FROM r WHERE style = 'zz')
+SELECT bucket, name, count(*) AS n FROM c GROUP BY ALL"""
+)
+def style_enforcement(spark, sf_dir):
+    """How many direct properties and character styles are taken away or mapped when the house's styles are enforced."""
+    styles = spark.createDataFrame([(1, k, name, props) for k, (name, props) in _RUN_STYLES.items()], "house int, style_id string, style_name string, props map<string,string>")
+    x = pp.enforced_runs(property_runs(spark, sf_dir).withColumn("house", F.lit(1)), styles, "house")
+    return pp.counters(x, {"removed": F.col("removed"), "mapped": F.array_compact(F.array("mapped")), "removed_style": F.array_compact(F.array("removed_style"))})
+
+
+@query(
+    _RUNS
+    + f""", s AS (SELECT *, CASE style {' '.join(f"WHEN '{k}' THEN '{n}'" for k, (n, _) in _RUN_STYLES.items())} ELSE coalesce(style, '') END AS name FROM r),
+o AS (SELECT *, has_i AND NOT off AS i, has_b AND NOT off AS b FROM s), k AS (SELECT doc_id, block_index, 'run_override' AS kind, i::INT + b::INT + has_color::INT AS n FROM o UNION ALL SELECT doc_id, block_index, 'manual_emphasis_without_char_style', (i AND name <> '{pp.ITALIC}')::INT + b::INT FROM o
+ UNION ALL SELECT doc_id, block_index, 'noncanonical_character_style', (name NOT IN ('', '{pp.ITALIC}'))::INT FROM o UNION ALL SELECT doc_id, block_index, 'paragraph_override', (block_index % 3 = 0)::INT FROM b UNION ALL SELECT doc_id, block_index, 'noncanonical_paragraph_style', (kind = 'list_bulleted')::INT FROM b),
+g AS (SELECT doc_id, block_index, kind, sum(n) AS n FROM k GROUP BY ALL HAVING sum(n) > 0) SELECT kind, count(*) AS paragraphs, sum(n)::BIGINT AS found FROM g GROUP BY kind"""
+)
+def style_audit(spark, sf_dir):
+    """Findings of formatting by kind: paragraphs that have them, and how many in all."""
+    b = document_blocks(spark, sf_dir)
+    p = b.select("doc_id", "block_index", F.when(F.col("kind") == "list_bulleted", "List Bullet").otherwise("Normal").alias("style_name"), F.when(F.col("block_index") % 3 == 0, F.create_map(F.lit("ind"), F.lit("1"))).otherwise(F.expr("cast(map() as map<string,string>)")).alias("props"))
+    names = F.create_map(*[F.lit(x) for k, (n, _) in _RUN_STYLES.items() for x in (k, n)])
+    style = F.try_element_at("props", F.lit("rStyle"))
+    r = property_runs(spark, sf_dir).withColumns({"char_style": F.coalesce(F.try_element_at(names, style), style), "fonts": F.array().cast("array<string>")})
+    x = pp.audit(p, r, ["doc_id", "block_index"], "Gaura Times", ["Normal"])
+    return x.groupBy("kind").agg(F.count("*").alias("paragraphs"), F.sum(F.aggregate(F.map_values("counts"), F.lit(0).cast("long"), lambda a, v: a + v)).alias("found"))
