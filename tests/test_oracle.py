@@ -45,7 +45,6 @@ def test_matches_sql(spark, con, name):
     assert rows(df.columns, [tuple(r) for r in df.collect()]) == rows(names, want)
 
 
-@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.ORACLE)))
-def test_runs(spark, name):
-    df = catalog.QUERIES[name](spark, DIR)
-    assert df.columns and df.count() >= 0
+def test_queries_without_sql():
+    """These are held against plain Python in test_queries.py."""
+    assert set(catalog.QUERIES) - set(catalog.ORACLE) == {"page_blocks", "align_opcodes", "structural_review", "aligned_suspicious", "range_projection", "update_candidates"}
