@@ -59,20 +59,8 @@ def range_projection(spark, sf_dir):
 def update_candidates(spark, sf_dir):
     """Changed passages with flags and priority."""
     old, new = _sides(spark, sf_dir)
-    ops = al.opcodes(old, new, "doc_id", "pos", "key").where("tag <> 'equal'")
-
-    def side(blocks, a, b, name):
-        x = ops.select("doc_id", "seq", F.explode(F.when(F.col(b) > F.col(a), F.sequence(F.col(a) + 1, F.col(b))).otherwise(F.array(F.greatest(F.lit(1), F.col(a))))).alias("pos")).join(blocks.select("doc_id", "pos", "text", "kind"), ["doc_id", "pos"])
-        g = x.groupBy("doc_id", "seq").agg(F.array_sort(F.collect_list(F.struct("pos", "text"))).alias("t"), F.collect_set("kind").alias(f"{name}_kinds"))
-        return g.select("doc_id", "seq", F.array_join(F.col("t.text"), " ").alias(name), f"{name}_kinds")
-
-    x = ops.join(side(old, "i1", "i2", "old"), ["doc_id", "seq"], "left").join(side(new, "j1", "j2", "new"), ["doc_id", "seq"], "left")
-    x = x.withColumns({"old": F.coalesce("old", F.lit("")), "new": F.coalesce("new", F.lit("")), "kinds": F.array_union(F.coalesce("old_kinds", F.array().cast("array<string>")), F.coalesce("new_kinds", F.array().cast("array<string>")))})
-    x = x.withColumn("char_ratio", F.round(al.text_ratio(F.col("old"), F.col("new")), 4))
-    delta = F.abs(tx.word_count(F.col("old")) - tx.word_count(F.col("new")))
-    refs = sm.loose_references(F.col("old")) != sm.loose_references(F.col("new"))
-    c = al.change(tx.digits(F.col("old")) != tx.digits(F.col("new")), refs, F.arrays_overlap("kinds", F.array(*map(F.lit, al.HIGH_IMPACT))), (F.col("i2") - F.col("i1")) != (F.col("j2") - F.col("j1")), F.col("char_ratio"), delta)
-    return x.withColumn("c", c).select("doc_id", "seq", "tag", "char_ratio", "c.flags", "c.meaningful", "c.priority", "c.severity")
+    x = al.changed_passages(al.opcodes(old, new, "doc_id", "pos", "key"), old, new, "doc_id")
+    return x.select("doc_id", "seq", "tag", "char_ratio", "c.flags", "c.meaningful", "c.priority", "c.severity")
 
 
 @query(BLOCKS + "SELECT lang, doc_id, block_index, row_number() OVER (PARTITION BY lang ORDER BY doc_id, block_index) AS n FROM b")

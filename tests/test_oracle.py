@@ -47,4 +47,4 @@ def test_matches_sql(spark, con, name):
 
 def test_queries_without_sql():
     """These are held against plain Python in test_queries.py."""
-    assert set(catalog.QUERIES) - set(catalog.ORACLE) == {"page_blocks", "align_opcodes", "structural_review", "aligned_suspicious", "range_projection", "update_candidates"}
+    assert set(catalog.QUERIES) - set(catalog.ORACLE) == {"page_blocks", "align_opcodes", "structural_review", "aligned_suspicious", "range_projection", "update_candidates", "editorial_issues", "editorial_index"}
