@@ -9,6 +9,7 @@ from lectern.functions import hints as hn
 from lectern.functions import text as tx
 from lectern.operators import candidates as cd
 from lectern.operators import glossary as gl
+from lectern.operators import glossary_tables as gt
 from lectern.operators import issues as iss
 from lectern.operators import pairing as pr
 from lectern.sources.tables import table
@@ -198,6 +199,42 @@ def glossary_conflicts(spark, sf_dir):
     return _terms(spark, sf_dir).where("variant_count > 1 or italic_required = 'conditional'").select("key", "variant_count", "variants", "italic_required")
 
 
+#: All terms with what the exchanged tables say of them; English and French stand for the primary sources.
+_SHEET = _AGGREGATE + f""", av AS (SELECT key, variant, count(*) AS n FROM c GROUP BY key, variant), aw AS (SELECT av.*, nn.k = key AS own, nn.k = key OR (nn.base <> '' AND {_KEY.replace('V', 'nn.base')} = key) AS fits FROM av JOIN nn ON nn.variant = av.variant),
+ap AS (SELECT key, variant AS approved_form FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY NOT fits, CASE WHEN fits THEN NOT own ELSE false END, CASE WHEN fits THEN 0 ELSE -n END, length(variant), regexp_matches(variant, '^[А-ЯA-Z]'), -n, variant) AS k FROM aw) WHERE k = 1),
+sn AS (SELECT key, source_label, count(*) AS n, min(seen) AS s FROM c GROUP BY ALL), sr AS (SELECT key, string_agg(source_label || ' [' || n || ']', ' | ' ORDER BY n DESC, s) AS sources, arg_min(source_label, s) AS preferred_source, bool_or(source_label IN ('en', 'fr')) AS supported FROM sn GROUP BY key),
+sh AS (SELECT t.*, 'term-' || lpad((row_number() OVER (ORDER BY t.key))::VARCHAR, 5, '0') AS id, ap.approved_form, sr.sources, sr.preferred_source, sr.supported, 'no_diacritics_in_prose' AS diacritics_policy FROM t JOIN ap USING (key) JOIN sr USING (key)),
+ba AS (SELECT id, approved_form AS lemma_ru, '' AS lemma_en, category, approved_form, '' AS declension_notes, italic_required, diacritics_policy, '' AS capitalization_notes, variants AS variants_found, preferred_source, examples AS source_examples, '' AS editor_decision, CASE WHEN variant_count > 1 OR italic_required = 'conditional' THEN 'needs_review' ELSE 'draft' END AS status, 'auto-generated draft' AS notes FROM sh WHERE supported),
+co AS (SELECT key AS normalized_key, approved_form, variant_count, variants, italic_required, diacritics_policy, sources, examples FROM sh WHERE supported AND (variant_count > 1 OR italic_required = 'conditional'))"""
+
+
+def _sheet(spark, sf_dir):
+    return gt.terms(candidates(spark, sf_dir), approved_form(spark, sf_dir), ("en", "fr"))
+
+
+@query(_SHEET + " SELECT * FROM ba")
+def glossary_base(spark, sf_dir):
+    """The glossary's draft with all its columns."""
+    return gt.base_rows(_sheet(spark, sf_dir))
+
+
+@query(_SHEET + " SELECT * FROM co")
+def glossary_conflict_rows(spark, sf_dir):
+    """Terms in conflict with all columns of their table."""
+    return gt.conflict_rows(_sheet(spark, sf_dir))
+
+
+@query(_SHEET + """, lc AS (SELECT lower(approved_form) AS k, arg_max({'v': variants, 's': sources}, normalized_key) AS c FROM co GROUP BY 1)
+SELECT ba.*, lower(approved_form) AS normalized_key, CASE WHEN c IS NULL THEN 'no' ELSE 'yes' END AS conflict_flag, coalesce(c.v, '') AS conflict_variants, coalesce(c.s, '') AS conflict_sources,
+CASE WHEN category IN ('personal_name', 'place_name', 'scripture_title', 'philosophical_term', 'honorific') THEN CASE WHEN status = 'needs_review' OR c IS NOT NULL THEN 'high' ELSE 'medium' END WHEN status = 'needs_review' OR c IS NOT NULL THEN 'medium' ELSE 'low' END AS review_priority,
+CASE WHEN category IN ('personal_name', 'place_name', 'scripture_title', 'philosophical_term', 'honorific') AND NOT (status = 'needs_review' OR c IS NOT NULL) THEN 'keep' ELSE 'review' END AS suggested_action,
+'' AS decision, '' AS approved_form_override, '' AS category_override, '' AS italic_required_override, '' AS diacritics_policy_override, '' AS merge_into, '' AS review_notes FROM ba LEFT JOIN lc ON lc.k = lower(approved_form)""")
+def glossary_review_rows(spark, sf_dir):
+    """The review sheet with all its columns."""
+    s = _sheet(spark, sf_dir)
+    return gt.review_rows(gt.base_rows(s), gt.conflict_rows(s))
+
+
 @query(_AGGREGATE + " SELECT id, key FROM (SELECT 'term-' || lpad((row_number() OVER (ORDER BY key))::VARCHAR, 5, '0') AS id, * FROM t) WHERE headwords > 0 OR category <> 'other'")
 def numbered_terms(spark, sf_dir):
     """Ids over all sorted keys, then only terms with high signal: ids have gaps."""
