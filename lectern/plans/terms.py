@@ -12,6 +12,7 @@ from lectern.operators import glossary as gl
 from lectern.operators import glossary_tables as gt
 from lectern.operators import issues as iss
 from lectern.operators import pairing as pr
+from lectern.operators.folders import new_folder, stored
 from lectern.sources.tables import table
 
 from .blocks import BLOCKS, ISSUES, document_blocks, stylistic
@@ -209,7 +210,13 @@ co AS (SELECT key AS normalized_key, approved_form, variant_count, variants, ita
 
 
 def _sheet(spark, sf_dir):
-    return gt.terms(candidates(spark, sf_dir), approved_form(spark, sf_dir), ("en", "fr"))
+    """Candidates and terms are written once: a dozen aggregations rest on them."""
+    folder = new_folder(spark, "glossary")
+    found = stored(candidates(spark, sf_dir), f"{folder}/candidates")
+    known = stored(cd.described(found, cd.hint_table(spark), "variant"), f"{folder}/described")
+    own = known.select(F.col("term").alias("variant"), F.col("key").alias("own_key"), F.when(F.col("base") != "", hn.normal_key(F.col("base"))).alias("hint_key"))
+    approved = gl.approved_form(found.join(own, "variant"), F.col("own_key"), F.col("hint_key"))
+    return stored(gt.terms(found, stored(approved, f"{folder}/approved"), ("en", "fr")), f"{folder}/terms")
 
 
 @query(_SHEET + " SELECT * FROM ba")
