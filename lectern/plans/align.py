@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lectern.functions import text as tx
 from lectern.operators import alignment as al
 from lectern.operators import semantic as sm
+from lectern.operators.folders import new_folder, stored
 from lectern.sources.tables import table, text_blocks, with_features
 
 from .blocks import BLOCKS, document_blocks
@@ -49,7 +50,7 @@ def aligned_suspicious(spark, sf_dir):
 @query()
 def range_projection(spark, sf_dir):
     """Where each changed range of the old side lies on the new one."""
-    ops = _ops(spark, sf_dir, "key")
+    ops = stored(_ops(spark, sf_dir, "key"), f"{new_folder(spark, 'ranges')}/opcodes")
     ranges = ops.where("tag <> 'equal'").select("doc_id", F.when(F.col("i2") > F.col("i1"), F.col("i1") + 1).otherwise(F.greatest(F.lit(1), "i1")).alias("lo"), F.when(F.col("i2") > F.col("i1"), F.col("i2")).otherwise(F.greatest(F.lit(1), "i1")).alias("hi")).distinct()
     totals = ops.groupBy("doc_id").agg(F.max("j2").alias("total"))
     return al.projected(ranges, al.matched(ops, "doc_id"), totals, "doc_id")
@@ -59,7 +60,8 @@ def range_projection(spark, sf_dir):
 def update_candidates(spark, sf_dir):
     """Changed passages with flags and priority."""
     old, new = _sides(spark, sf_dir)
-    x = al.changed_passages(al.opcodes(old, new, "doc_id", "pos", "key"), old, new, "doc_id")
+    ops = stored(al.opcodes(old, new, "doc_id", "pos", "key"), f"{new_folder(spark, 'updates')}/opcodes")
+    x = al.changed_passages(ops, old, new, "doc_id")
     return x.select("doc_id", "seq", "tag", "char_ratio", "c.flags", "c.meaningful", "c.priority", "c.severity")
 
 
