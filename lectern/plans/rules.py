@@ -16,7 +16,7 @@ from lectern.sources.tables import table, text_blocks, with_features
 
 from .blocks import BLOCKS, ISSUES, document_blocks, stylistic
 from .pages import _HITS, _MIRROR, _resolved
-from .terms import _CANDIDATES, candidates
+from .terms import _CANDIDATES, candidates, stored_candidates
 from .registry import registry
 
 QUERIES, ORACLE, query = registry()
@@ -272,7 +272,7 @@ def priority_histogram(spark, sf_dir):
 @query(_CANDIDATES + ", a AS (SELECT key, count(DISTINCT variant) AS variants, bool_or(italic) AS it, bool_or(NOT italic) AS pl, bool_or(source_label IN ('en', 'fr')) AS own FROM c GROUP BY key), m AS (SELECT key, arg_min(category, (-n, s)) AS category FROM (SELECT key, category, count(*) AS n, min(seen) AS s FROM c GROUP BY ALL) GROUP BY key) SELECT category, count(*) AS total, count(*) FILTER (own) AS kept, count(*) FILTER (NOT own) AS dropped, count(*) FILTER (own AND (variants > 1 OR (it AND pl))) AS conflicts FROM a JOIN m USING (key) GROUP BY category")
 def extraction_summary(spark, sf_dir):
     """Terms by category: all, kept for a primary source, dropped, in conflict."""
-    c = candidates(spark, sf_dir)
+    c = stored_candidates(spark, sf_dir)
     a = c.groupBy("key").agg(F.count_distinct("variant").alias("variants"), F.max("italic").alias("it"), F.max(~F.col("italic")).alias("pl"), F.max(F.col("source_label").isin("en", "fr")).alias("own"))
     n = c.groupBy("key", "category").agg(F.count("*").alias("n"), F.min("seen").alias("s")).groupBy("key").agg(F.min_by("category", F.struct(-F.col("n"), "s")).alias("category"))
     own = F.col("own")

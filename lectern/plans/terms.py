@@ -158,6 +158,11 @@ def candidates(spark, sf_dir):
     )
 
 
+def stored_candidates(spark, sf_dir):
+    """candidates, written once: several aggregations rest on them, and each would extract them anew."""
+    return stored(candidates(spark, sf_dir), f"{new_folder(spark, 'terms')}/candidates")
+
+
 @query(_CANDIDATES + " SELECT key, variant, source_label, category, kind, italic, file, example FROM c")
 def term_candidates(spark, sf_dir):
     """Every term that an entry explains or that stands in italics, with its key and category."""
@@ -176,7 +181,7 @@ t AS (SELECT *, CASE WHEN italic_count > 0 AND plain_count > 0 THEN 'conditional
 
 @query(_AGGREGATE + " SELECT key, n, italic_count, plain_count, files, headwords, category, examples, variant_count, variants FROM a")
 def candidate_aggregate(spark, sf_dir):
-    return gl.candidate_aggregate(candidates(spark, sf_dir)).select("key", "n", "italic_count", "plain_count", "files", "headwords", "category", "examples", "variant_count", "variants")
+    return gl.candidate_aggregate(stored_candidates(spark, sf_dir)).select("key", "n", "italic_count", "plain_count", "files", "headwords", "category", "examples", "variant_count", "variants")
 
 
 @query(
@@ -186,12 +191,16 @@ SELECT key, variant AS approved_form FROM (SELECT *, row_number() OVER (PARTITIO
 )
 def approved_form(spark, sf_dir):
     hint = F.when(F.col("base") != "", hn.normal_key(F.col("base")))
-    known = cd.described(candidates(spark, sf_dir), cd.hint_table(spark), "variant").select(F.col("term").alias("variant"), F.col("key").alias("own_key"), hint.alias("hint_key"))
-    return gl.approved_form(candidates(spark, sf_dir).join(known, "variant"), F.col("own_key"), F.col("hint_key"))
+    found = stored_candidates(spark, sf_dir)
+    known = cd.described(found, cd.hint_table(spark), "variant").select(F.col("term").alias("variant"), F.col("key").alias("own_key"), hint.alias("hint_key"))
+    return gl.approved_form(found.join(known, "variant"), F.col("own_key"), F.col("hint_key"))
 
 
 def _terms(spark, sf_dir):
-    a = gl.candidate_aggregate(candidates(spark, sf_dir))
+    """Terms, written once: what asks for them joins, numbers or groups them."""
+    folder = new_folder(spark, "terms")
+    a = gl.candidate_aggregate(stored(candidates(spark, sf_dir), f"{folder}/candidates"))
+    a = stored(a, f"{folder}/aggregate")
     return a.withColumn("italic_required", gl.italic_policy(F.col("italic_count"), F.col("plain_count")))
 
 

@@ -1,6 +1,8 @@
 """What a query moves or works out grows no faster than its input."""
 
+import pytest
 
+from lectern import catalog
 from lectern.operators import pairing as pr
 
 
@@ -14,3 +16,9 @@ def test_phrases_move_no_text(spark):
     hits = pr.phrase_hits(blocks, phrases, ["d"])
     assert sorted(tuple(r) for r in hits.select("d", "n").collect()) == [(1, 1), (1, 2), (2, 2)]
     assert "BroadcastHashJoin" in plan(hits) and "hashpartitioning" not in plan(hits)
+
+
+@pytest.mark.parametrize("name", ["approved_form", "review_triage", "extraction_summary"])
+def test_candidates_are_extracted_once(spark, name):
+    """The query rests on stored candidates: its plan reads no documents."""
+    assert "documents.parquet" not in plan(catalog.QUERIES[name](spark, "/root/testdata/sf0.001"))
