@@ -43,12 +43,12 @@ def marked_ratio(clean: Column) -> Column:
 
 
 def looks_source(clean: Column) -> Column:
-    """A verse's label, a quoted title with a number, or a short line with a work's name and a number."""
+    """A verse's label, a quoted title with a number, or a short line with a work's name and a number, which may follow at once."""
     n = tx.word_count(clean)
     starts = [clean.startswith(s) for s in WORK_STARTS]
     parts = [clean.contains(s) for s in PART_NAMES]
     some = lambda tests: F.greatest(*tests)
-    named = clean.rlike(rf"(?iu){_B}(?:{'|'.join(WORK_NAMES)}){_B}.*\d")
+    named = clean.rlike(rf"(?iu){_B}(?:{'|'.join(WORK_NAMES)})(?:{_B}.*)?\d")
     near = (n <= 18) | some(starts) & (n <= 28) | clean.startswith("«") & some(parts) & (n <= 24)
     return (clean != "") & (clean.rlike(r"(?iu)^текст\s+\d+[а-яa-z]?$") | clean.rlike(r"^«[^»]{2,80}»\s+\d") & (n <= 28) | named & near)
 
