@@ -40,7 +40,7 @@ def candidate_text(c: Column, unwrap: bool = True) -> Column:
         return x.map(lambda s: s and html.unescape(s))
 
     def bare(x: Column) -> Column:
-        x = F.trim(F.regexp_replace(x, r"[\s\x{a0}]+", " "))
+        x = F.trim(F.regexp_replace(x, r"(?! ?[\x21-\x7e])(?: [\s\x{a0}]+|[\t\n\x0b\f\r\x{a0}][\s\x{a0}]*)", " "))
         return F.regexp_replace(F.regexp_replace(x, "^[\"'«„“”]+", ""), "[\"'»“”.,;:!?]+$", "")
 
     def unwrapped(x: Column) -> Column:

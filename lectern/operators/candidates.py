@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions import forms as fm
 from lectern.functions import hints as hn
+from lectern.operators.folders import new_folder, stored
 
 OTHER = "other"
 
@@ -57,12 +58,17 @@ def from_blocks(blocks: DataFrame, hints: DataFrame, keys: list[str], text: str
     Headwords come from blocks of the form `Word — meaning`; both kinds go through the guards, and what no hint knows
     goes. key: that of the term's base, else its own. Terms are described once each, whatever number of blocks has them.
     """
-    b = blocks.withColumn("_clean", fm.candidate_text(F.col(text)))
+    spark = blocks.sparkSession
+    # Only a block with a dash, or an entity that may be one, explains a term; others are not cleaned.
+    b = blocks.withColumn("_clean", fm.candidate_text(F.when(F.col(text).rlike("[—–&-]"), F.col(text))))
+    one = lambda kind, italic: lambda v, i: F.struct(F.lit(kind).alias("kind"), F.lit(italic).alias("italic"), i.alias("pos"), v.alias("variant"))
+    found = F.concat(F.transform(hn.headwords(F.col("_clean")), one("glossary_headword", False)), F.transform(F.coalesce(italics, F.array().cast("array<string>")), one("italic", True)))
     # The outer form, as the inner one makes the optimiser ask for the array's size first, and work it out twice.
-    heads = b.select(*keys, F.lit("glossary_headword").alias("kind"), F.lit(False).alias("italic"), F.posexplode_outer(hn.headwords(F.col("_clean"))).alias("pos", "variant"), F.substring("_clean", 1, 120).alias("context"))
-    parts = blocks.select(*keys, F.lit("italic").alias("kind"), F.lit(True).alias("italic"), F.posexplode_outer(italics).alias("pos", "raw"))
-    parts = parts.withColumn("variant", fm.candidate_text(F.col("raw"))).withColumn("context", F.substring("variant", 1, 120)).drop("raw")
-    x = heads.unionByName(parts).where(hn.may_be_term(F.col("variant"), F.col("kind")))
+    x = b.select(*keys, F.substring("_clean", 1, 120).alias("context"), F.explode_outer(found).alias("x")).select(*keys, "context", "x.*")
+    x = x.withColumn("variant", F.when(F.col("italic"), fm.candidate_text(F.when(F.col("italic"), F.col("variant")))).otherwise(F.col("variant")))
+    x = x.withColumn("context", F.when(F.col("italic"), F.substring("variant", 1, 120)).otherwise(F.col("context")))
+    # Written once: what describes the terms, and what is then joined with it, would each read all blocks anew.
+    x = stored(x.where(hn.may_be_term(F.col("variant"), F.col("kind"))), new_folder(spark, "found"))
     known = described(x, hints, "variant").where(F.col("category") != OTHER)
     known = known.withColumn("key", F.when(F.col("base") != "", hn.normal_key(F.col("base"))).otherwise(F.col("key"))).where("key <> ''")
     return x.join(known.select(F.col("term").alias("variant"), "key", "category"), "variant").select(*keys, "kind", "italic", "pos", "variant", "context", "key", "category")

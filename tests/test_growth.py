@@ -1,8 +1,12 @@
 """What a query moves or works out grows no faster than its input."""
 
+import itertools
+
 import pytest
+from pyspark.sql import functions as F
 
 from lectern import catalog
+from lectern.functions import text as tx
 from lectern.operators import pairing as pr
 
 
@@ -22,3 +26,17 @@ def test_phrases_move_no_text(spark):
 def test_candidates_are_extracted_once(spark, name):
     """The query rests on stored candidates: its plan reads no documents."""
     assert "documents.parquet" not in plan(catalog.QUERIES[name](spark, "/root/testdata/sf0.001"))
+
+
+@pytest.mark.parametrize("name", ["term_candidates", "preferred_sources"])
+def test_terms_are_found_in_one_pass(spark, name):
+    assert "documents.parquet" not in plan(catalog.QUERIES[name](spark, "/root/testdata/sf0.001"))
+
+
+def test_single_spaces_are_left_alone(spark):
+    """Cleaning looks for runs other than a single space, and gives what replacing every run gives."""
+    odd = [" ", "  ", "\t", " ", "\x1c", "　", " ", "\x85", "\x0b", "a", "~", "é", "!", "​"]
+    texts = ["".join(t) for n in (1, 2, 3) for t in itertools.product(odd, repeat=n)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").withColumns({"old": F.trim(F.regexp_replace("t", tx.SPACE + "+", " ")), "new": tx.clean(F.col("t"))})
+    assert df.where("old <> new").count() == 0
+    assert not spark.range(1).select(F.lit("a b é c !").rlike(tx.RUN)).first()[0]
