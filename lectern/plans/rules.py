@@ -214,8 +214,8 @@ def reference_issues(spark, sf_dir):
 @query(ISSUES + ", a AS (SELECT f.doc_id, f.block_index, f.kind, f.severity, b.text, b.paragraph_index FROM f JOIN b USING (doc_id, block_index)) SELECT doc_id, block_index, kind, '[' || upper(severity) || '] Review' || chr(10) || 'Kind: ' || kind || chr(10) || chr(10) || 'Suggested action:' || chr(10) || 'Look again.' || chr(10) || chr(10) || 'Context:' || chr(10) || '- excerpt: ' || text || chr(10) || chr(10) || 'Metadata:' || chr(10) || '- paragraph_index: ' || paragraph_index AS body FROM a")
 def issue_bodies(spark, sf_dir):
     """Issues as readers see them."""
-    b = document_blocks(spark, sf_dir).select("doc_id", "block_index", "text", "paragraph_index")
-    x = stylistic(document_blocks(spark, sf_dir)).select("doc_id", "block_index", "kind", "severity").join(b, ["doc_id", "block_index"])
+    # An issue still has its block's columns: no join.
+    x = stylistic(document_blocks(spark, sf_dir))
     body = pd_.issue_text(F.col("severity"), F.lit("Review"), F.col("kind"), F.lit(""), F.lit("Look again."), {"excerpt": F.col("text")}, {"paragraph_index": F.col("paragraph_index"), "ignored": F.col("text")})
     return x.select("doc_id", "block_index", "kind", body.alias("body"))
 

@@ -40,3 +40,7 @@ def test_single_spaces_are_left_alone(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string").withColumns({"old": F.trim(F.regexp_replace("t", tx.SPACE + "+", " ")), "new": tx.clean(F.col("t"))})
     assert df.where("old <> new").count() == 0
     assert not spark.range(1).select(F.lit("a b é c !").rlike(tx.RUN)).first()[0]
+
+
+def test_bodies_of_issues_need_no_join(spark):
+    assert "Join" not in plan(catalog.QUERIES["issue_bodies"](spark, "/root/testdata/sf0.001"))
