@@ -17,14 +17,17 @@ from lectern.operators import references as rf
 
 NO_BREAK = "\u00a0"
 #: Punctuation, with white space behind it, at the end of a run.
-TRAILING = r"([.,;:!?…]+)[\s\x1c-\x1f\x85\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]*$"
+_BLANK = r"\s\x1c-\x1f\x85\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+TRAILING = rf"([.,;:!?…]+)[{_BLANK}]*$"
+#: Texts of which something is left however often such an end is taken away.
+SOLID = rf"^[^.,;:!?…]|[^.,;:!?…{_BLANK}]"
 
 
 def paragraphs(runs: DataFrame, keys: list[str]) -> DataFrame:
     """keys, runs: an ordered array of (run, text, note, format) for each paragraph."""
     more = [c for c in runs.columns if c not in {*keys, "run", "text", "note"}]
     one = F.struct("run", F.coalesce("text", F.lit("")).alias("text"), "note", F.struct(*more, F.lit(None).cast("string").alias("_")).alias("format"))
-    return runs.groupBy(*keys).agg(F.array_sort(F.collect_list(one)).alias("runs"))
+    return runs.groupBy(*keys).agg(F.sort_array(F.collect_list(one)).alias("runs"))
 
 
 def joined(runs: Column) -> Column:
@@ -154,10 +157,22 @@ def with_notes_before_punctuation(runs: DataFrame, keys: list[str]) -> tuple[Dat
         marked = _bound(last, lambda at: _bound(F.struct(at.alias("last"), F.get(a["out"], at).alias("prev")), lambda p: _bound(parts(p), lambda q: F.when(q["punctuation"] != "", put(q)).otherwise(as_is))))
         return F.when(x["r"]["note"].isNull(), as_is).otherwise(marked)
 
-    behind = lambda i: F.coalesce(F.get(F.filter(F.slice("runs", i + 2, F.size("runs")), lambda r: r["text"] != ""), F.lit(0))["text"], F.lit(""))
-    seen = F.transform("runs", lambda r, i: F.struct(r.alias("r"), F.when(r["note"].isNotNull(), behind(i)).otherwise("").alias("behind")))
-    done = F.when(F.exists("runs", lambda r: r["note"].isNotNull()), F.aggregate(seen, start, step)).otherwise(F.struct(F.transform("runs", lambda r: item(r["text"], r["note"].cast("string"), r["format"], r["run"])).alias("out"), start["log"].alias("log")))
-    p = p.select(*keys, done.alias("done"))
+    # No mark reaches before the last solid run without one, so each such run begins a stretch that is folded by itself: few
+    # runs, however long the paragraph. Slices copy whole arrays; elements are fetched by place.
+    begins = F.transform("runs", lambda r, i: F.when((i == 0) | r["note"].isNull() & r["text"].rlike(SOLID), i))
+    p = p.withColumn("_starts", F.filter(begins, lambda i: i.isNotNull()))
+    until = lambda j: F.get("_starts", j + 1)
+    own = lambda s, e: F.transform(F.sequence(s, F.coalesce(e, F.size("runs")) - 1), lambda k: F.get("runs", k))
+    p = p.withColumn("_parts", F.transform("_starts", lambda s, j: F.struct(own(s, until(j)).alias("runs"), F.coalesce(F.get("runs", until(j))["text"], F.lit("")).alias("next"))))
+
+    def folded(part: Column) -> Column:
+        runs, texts = part["runs"], lambda i: F.get(F.filter(part["runs"], lambda r, k: (k > i) & (r["text"] != "")), F.lit(0))["text"]
+        seen = F.transform(runs, lambda r, i: F.struct(r.alias("r"), F.when(r["note"].isNotNull(), F.coalesce(texts(i), part["next"])).otherwise("").alias("behind")))
+        plain = F.struct(F.transform(runs, lambda r: item(r["text"], r["note"].cast("string"), r["format"], r["run"])).alias("out"), start["log"].alias("log"))
+        return F.when(F.exists(runs, lambda r: r["note"].isNotNull()), F.aggregate(seen, start, step)).otherwise(plain)
+
+    p = p.select(*keys, F.transform("_parts", folded).alias("done"))
+    p = p.select(*keys, F.struct(F.flatten("done.out").alias("out"), F.flatten("done.log").alias("log")).alias("done"))
     out = p.select(*keys, F.posexplode_outer("done.out").alias("at", "r")).where("at is not null").select(*keys, (F.col("at") + 1).alias("run"), "r.text", "r.note", "r.format", "r.origin")
     log = p.select(*keys, F.posexplode_outer("done.log").alias("at", "c")).where("at is not null").select(*keys, (F.col("at") + 1).alias("change"), "c.note", "c.moved", "c.action")
     return out, log

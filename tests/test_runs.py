@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -134,6 +135,23 @@ def test_notes_against_loop(spark, seed):
     held(spark, [[pick() for _ in range(rng.randrange(1, 12))] for _ in range(60)])
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_notes_with_text_of_their_own(spark, seed):
+    """Marks that hold text, ends that are all punctuation, and runs of which something is left."""
+    rng = random.Random(seed)
+    pick = lambda: (rng.choice(["", "", "x.", ".", "a"]), str(rng.randrange(9))) if rng.random() < 0.4 else (rng.choice(["a", "b. .", " .", ". ", "…, ", "", "\n", ".\n", "d!? ", "; e"]), None)
+    held(spark, [[pick() for _ in range(rng.randrange(1, 25))] for _ in range(60)])
+
+
+def test_long_paragraphs_of_notes(spark):
+    """The work grows with the runs, not with their square: as one fold this paragraph took more than a minute."""
+    rows = table(spark, [x for k in range(6000) for x in ((f"w{k}. ", None), ("", str(k)))])
+    begun = time.monotonic()
+    out, log = rn.with_notes_before_punctuation(rows, ["p"])
+    assert (out.count(), log.count()) == (18000, 6000)
+    assert time.monotonic() - begun < 30
+
+
 def test_italic_fragments(spark):
     rows = [(1, 1, "a", True), (1, 2, "", False), (1, 3, "b", True), (1, 4, "c", False), (1, 5, "d", True), (1, 6, None, True), (2, 1, "x", False), (3, 1, "y", None), (3, 2, "z", True)]
     df = spark.createDataFrame(rows, "p int, run int, text string, italic boolean")
