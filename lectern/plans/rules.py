@@ -236,7 +236,9 @@ def blocks_with_issues(spark, sf_dir):
 def first_note_paragraphs(spark, sf_dir):
     """The first line of each supplier in an order: a note's first paragraph."""
     k = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_suppkey"))
-    notes = table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_suppkey").alias("note_id"), k.alias("paragraph_index"))
+    # A task keeps its rows for sorting and twice as groups, so parts are not put together: a part of 64 MB would take 1 GB.
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "l_orderkey")
+    notes = lines.select("l_orderkey", F.col("l_suppkey").alias("note_id"), k.alias("paragraph_index"))
     return lk.first_paragraphs(notes, ["l_orderkey"])
 
 

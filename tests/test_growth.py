@@ -44,3 +44,9 @@ def test_single_spaces_are_left_alone(spark):
 
 def test_bodies_of_issues_need_no_join(spark):
     assert "Join" not in plan(catalog.QUERIES["issue_bodies"](spark, "/root/testdata/sf0.001"))
+
+
+def test_lines_of_orders_stay_in_small_parts(spark):
+    """Parts are not put together, by which one task would hold many of them."""
+    said = plan(catalog.QUERIES["first_note_paragraphs"](spark, "/root/testdata/sf0.001"))
+    assert "REPARTITION_BY_NUM" in said and said.count("Exchange") == 1
