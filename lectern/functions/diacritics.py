@@ -24,8 +24,9 @@ SPELLED = {
     "Чатур-масйа": "Чатур-масья", "чатур-масйа": "чатур-масья", "Майапур": "Майяпур", "майапур": "майяпур", "Чатур-масй": "Чатур-мась", "чатур-масй": "чатур-мась",
 }
 
-_ANY = f"[{MARKED}{MARKS}]"
-_LETTER = f"[A-Za-zА-Яа-яЁё{MARKED}{MARKS}]"
+#: Java tries the members of a class one after the other, for every character: the ranges first tell whether it may be one.
+_ANY = rf"[Ññ\x{{100}}-\x{{3ff}}\x{{1e00}}-\x{{1eff}}&&[{MARKED}{MARKS}]]"
+_LETTER = f"[A-Za-zА-Яа-яЁё{_ANY}]"
 WORD = f"{_LETTER}+(?:[-‑]{_LETTER}+)*"
 #: An entry of a list of abbreviations or references.
 ENTRY = r"^\s*[A-Za-zА-Яа-яЁё]{1,6}\s*(?:\d[\d.,:;–—-]*)?:"
@@ -92,20 +93,23 @@ def looks_verse(raw: Column, s: Column) -> Column:
 def decision(raw: Column, plain: Column, style: Column | None = None) -> Column:
     """(action, reason): none, preserve or normalize_prose, by the first rule that holds. plain: the text without marks."""
     style = F.coalesce(style, F.lit("")) if style is not None else F.lit("")
-    s = stats(raw, plain)
-    verse = looks_verse(raw, s)
     pair = lambda a, r: F.struct(F.lit(a).alias("action"), (r if isinstance(r, Column) else F.lit(r)).alias("reason"))
-    note = verse & (s["lines"] >= 2) & (s["marked"] / F.greatest(s["words"], F.lit(1)) >= 0.40)
     prefixed = F.lit(False)
     for p in PROSE_PREFIXES:
         prefixed |= style.startswith(p)
-    return (
-        F.when(s["marked"] == 0, pair("none", "no-diacritics"))
-        .when(style.isin(*VERSE_STYLES), pair("preserve", F.concat(F.lit("style:"), style)))
-        .when(prefixed, pair("normalize_prose", F.concat(F.lit("style:"), style)))
-        .when(style.isin(*NOTE_STYLES) & ~note, pair("normalize_prose", F.concat(F.lit("footnote-prose-style:"), style)))
-        .when(F.trim(F.regexp_replace(raw, r"[\s ]+", " ")).rlike(ENTRY), pair("normalize_prose", "reference-or-abbreviation-entry"))
-        .when(style.isin(*QUOTE_STYLES) & verse, pair("preserve", F.concat(F.lit("quote-style-transliteration:"), style)))
-        .when(verse, pair("preserve", "transliteration-block"))
-        .otherwise(pair("normalize_prose", "russian-prose-with-diacritics"))
-    )
+
+    def by(s: Column) -> Column:
+        verse = looks_verse(raw, s)
+        note = verse & (s["lines"] >= 2) & (s["marked"] / F.greatest(s["words"], F.lit(1)) >= 0.40)
+        return (
+            F.when(style.isin(*VERSE_STYLES), pair("preserve", F.concat(F.lit("style:"), style)))
+            .when(prefixed, pair("normalize_prose", F.concat(F.lit("style:"), style)))
+            .when(style.isin(*NOTE_STYLES) & ~note, pair("normalize_prose", F.concat(F.lit("footnote-prose-style:"), style)))
+            .when(F.trim(F.regexp_replace(raw, r"[\s ]+", " ")).rlike(ENTRY), pair("normalize_prose", "reference-or-abbreviation-entry"))
+            .when(style.isin(*QUOTE_STYLES) & verse, pair("preserve", F.concat(F.lit("quote-style-transliteration:"), style)))
+            .when(verse, pair("preserve", "transliteration-block"))
+            .otherwise(pair("normalize_prose", "russian-prose-with-diacritics"))
+        )
+
+    # Every mark stands in some word, so only texts with marks are counted; bound to a variable, once each.
+    return F.when(~has_marks(raw), pair("none", "no-diacritics")).otherwise(F.get(F.transform(F.array(stats(raw, plain)), by), F.lit(0)))

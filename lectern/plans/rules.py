@@ -64,7 +64,8 @@ d AS (SELECT *, CASE WHEN marked = 0 THEN 'none no-diacritics' WHEN style IN ('
 
 def _decided(spark, sf_dir):
     style = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in _STYLE_OF.items() for x in kv]), F.col("kind")), F.lit(""))
-    b = document_blocks(spark, sf_dir).select("doc_id", "block_index", "text", style.alias("style"))
+    # Texts without marks need no style, and so no kind.
+    b = document_blocks(spark, sf_dir).select("doc_id", "block_index", "text", F.when(di.has_marks(F.col("text")), style).alias("style"))
     # Python gets nulls but where there are marks (in a branch it would see every text); without any there is no verse either way.
     b = b.withColumn("plain", F.coalesce(di.without_marks(F.when(di.has_marks(F.col("text")), F.col("text"))), F.col("text")))
     return b.withColumn("d", di.decision(F.col("text"), F.col("plain"), F.col("style")))

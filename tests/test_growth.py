@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lectern import catalog
+from lectern.functions import diacritics as di
 from lectern.functions import text as tx
 from lectern.operators import pairing as pr
 
@@ -50,3 +51,19 @@ def test_lines_of_orders_stay_in_small_parts(spark):
     """Parts are not put together, by which one task would hold many of them."""
     said = plan(catalog.QUERIES["first_note_paragraphs"](spark, "/root/testdata/sf0.001"))
     assert "REPARTITION_BY_NUM" in said and said.count("Exchange") == 1
+
+
+def test_texts_without_marks_are_not_taken_apart(spark):
+    """The decision on a text without marks asks for marks alone; on one with marks it counts words once."""
+    df = spark.createDataFrame([("a",)], "t string")
+    said = plan(df.select(di.decision(F.col("t"), F.col("t"), F.lit("")).alias("d")).select("d.reason"))
+    assert said.count("regexp_extract_all") <= 8
+
+
+def test_marks_are_those_of_the_plain_class(spark):
+    """The class that first asks for ranges has the same characters as the mere list of marks."""
+    chars = [chr(k) for k in [*range(0x20, 0x500), *range(0x1E00, 0x1F00), 0x2011, 0x3042, 0x1F600]]
+    df = spark.createDataFrame([(c,) for c in chars], "c string")
+    word = f"[A-Za-zА-Яа-яЁё{di.MARKED}{di.MARKS}]"
+    assert df.where(di.has_marks(F.col("c")) != F.col("c").rlike(f"[{di.MARKED}{di.MARKS}]")).count() == 0
+    assert df.where(F.col("c").rlike(f"^{di.WORD}$") != F.col("c").rlike(f"^{word}$")).count() == 0
