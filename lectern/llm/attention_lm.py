@@ -240,7 +240,7 @@ def scores(docs: DataFrame, tokenizer: str) -> DataFrame:
 
         def counted() -> pa.RecordBatch:
             of = np.flatnonzero(counts)
-            return filled(len(of), hash=pa.array(words.hashes[of].view(np.int64)), n=pa.array(counts[of]))
+            return filled(len(of), hash=pa.array(words.hashes()[of].view(np.int64)), n=pa.array(counts[of]))
 
         for batch in batches:
             for part in slices(batch, "text"):

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import mix, n_partitions, shared_dir, stored
+from .common import mix, n_partitions, shared_dir, slices, stored
 from .tokens import word_ids
 
 #: Bits of a level for each key that is left; keys of an index bucket, about; id after each document.
@@ -279,23 +279,22 @@ def write_store(docs: DataFrame, tokenizer: str, end: int = END) -> TokenStore:
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, n = word_ids(tokenizer), TaskContext.get().partitionId()
-        last = np.array([end], words.dtype).tobytes()
-        ids, offsets = [], [0]
+        ids, offsets = [], [np.zeros(1, np.int64)]
 
         def payload() -> Iterator[bytes]:
-            for batch in batches:
-                ids.extend(batch.column("doc_id").to_pylist())
-                for t in batch.column("text").to_pylist():
-                    x = words.text(t) + last
-                    offsets.append(offsets[-1] + len(x) // len(last))
-                    yield x
-            yield np.array(offsets, "<i8").tobytes()
-            yield np.array([len(ids), len(last)], "<i8").tobytes()
+            for part in (x for b in batches for x in slices(b, "text", 1 << 18)):
+                ids.extend(part.column("doc_id").to_pylist())
+                own, sizes = words.texts(part.column("text").to_pylist())
+                ends = np.cumsum(sizes)
+                offsets.append(offsets[-1][-1] + ends + np.arange(1, len(ends) + 1))
+                yield np.insert(own, ends, end).tobytes()
+            yield np.concatenate(offsets).astype("<i8").tobytes()
+            yield np.array([len(ids), np.dtype(words.dtype).itemsize], "<i8").tobytes()
 
         parts = payload()
         if (head := next(parts, None)) is not None and ids:
             write_file(f"{at}/shard-{n}.ids", (x for y in ([head], parts) for x in y))
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([n] * len(ids), pa.int32()), pa.array(range(len(ids)), pa.int64()), pa.array(np.diff(offsets), pa.int64())], ["doc_id", "shard", "place", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([n] * len(ids), pa.int32()), pa.array(range(len(ids)), pa.int64()), pa.array(np.diff(np.concatenate(offsets)), pa.int64())], ["doc_id", "shard", "place", "n"])
 
     rows = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
     _open(at)[0].create_dir(_open(at)[1], recursive=True)

@@ -29,7 +29,7 @@ def _room(x: np.ndarray, n: int) -> np.ndarray:
 
 
 class WordIds(dict):
-    """Numbers of lower-case words; and by number each word's ids and hash."""
+    """Numbers of lower-case words; and by number each word's ids."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -47,7 +47,8 @@ class WordIds(dict):
         """Forgets all words: their numbers no longer hold."""
         self.clear()
         self.asked: list[bytes] = []
-        self.flat, self.starts, self.hashes, self.known = np.empty(1024, self.dtype), np.zeros(1024, np.int64), np.empty(1024, np.uint64), 0
+        self.pieces: dict[str, tuple[int, ...]] = {}
+        self.flat, self.starts, self.known = np.empty(1024, self.dtype), np.zeros(1024, np.int64), 0
 
     def full(self) -> bool:
         return len(self) > REMEMBERED
@@ -69,29 +70,33 @@ class WordIds(dict):
 
     def _learn(self) -> None:
         asked, self.asked = self.asked, []
-        pieces: dict[str, list[int]] = {}
-        found = []
-        for word in (w.decode("utf-8", "replace") for w in asked):
-            if not self.plain or not _PLAIN.fullmatch(word):
-                found.append(self._ids(word))
-                continue
-            ids = []
-            for p in _PIECES.findall(word.lower()):
-                if (got := pieces.get(p)) is None:
-                    own = p if p.isascii() else p.encode().decode("latin-1").translate(_STAND_FOR)
-                    got = pieces[p] = [t.id for t in self.tokenizer.model.tokenize(own)]
-                ids += got
-            found.append(ids)
-        new = np.concatenate([np.asarray(x, np.int64) for x in found])
+        pieces, tokenize, plain, cut = self.pieces, self.tokenizer.model.tokenize, _PLAIN.fullmatch, _PIECES.findall
+        if len(pieces) > REMEMBERED // 2:
+            pieces.clear()
+        new: list[int] = []
+        ends = []
+        for word in b" ".join(asked).decode("utf-8", "replace").split(" "):
+            if not self.plain or not plain(word):
+                new += self._ids(word)
+            else:
+                for p in cut(word.lower()):
+                    if (got := pieces.get(p)) is None:
+                        own = p if p.isascii() else p.encode().decode("latin-1").translate(_STAND_FOR)
+                        got = pieces[p] = tuple([t.id for t in tokenize(own)])
+                    new += got
+            ends.append(len(new))
         n, at = self.known, int(self.starts[self.known])
         self.flat = _room(self.flat, at + len(new))
         self.starts = _room(self.starts, n + len(asked) + 1)
-        self.hashes = _room(self.hashes, n + len(asked))
         self.flat[at : at + len(new)] = new
-        self.starts[n + 1 : n + len(asked) + 1] = at + np.cumsum([len(x) for x in found])
-        self.hashes[n : n + len(asked)] = bytes_hashes(b" ".join(asked))
+        self.starts[n + 1 : n + len(asked) + 1] = at + np.array(ends)
         self.known += len(asked)
 
+    def hashes(self) -> np.ndarray:
+        """Of each word by number."""
+        words = list(self)
+        return np.concatenate([np.empty(0, np.uint64), *(bytes_hashes(b" ".join(words[k : k + 50_000])) for k in range(0, len(words), 50_000))])
+
     def ids_of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words by number, one after the other; and how many each has."""
         starts = self.starts[numbers]
@@ -99,15 +104,25 @@ class WordIds(dict):
         ends = np.cumsum(n)
         return self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + n, n)], n
 
-    def text(self, text: bytes | None) -> bytes:
-        """Ids of a whole text; null: none."""
-        if not text:
-            return b""
-        if b"<" in text or b"\xcc" in text or b"\xcd" in text:  # special tokens are not lower-cased; marks join their letter first
-            return np.array(self._ids(text.decode("utf-8", "replace")), self.dtype).tobytes()
+    def texts(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of whole texts, one after the other, and how many each has; null: none."""
+        own: list[list[bytes] | np.ndarray] = []
+        for t in texts:
+            if t and (b"<" in t or b"\xcc" in t or b"\xcd" in t):  # special tokens are not lower-cased; marks join their letter first
+                own.append(np.array(self._ids(t.decode("utf-8", "replace")), self.dtype))
+            else:
+                own.append(t.lower().split() if t else [])
         if self.full():
             self.anew()
-        return self.ids_of(self.numbers(text.lower().split()))[0].tobytes()
+        ids, n = self.ids_of(self.numbers([w for x in own if isinstance(x, list) for w in x]))
+        ends = np.append(0, np.cumsum(n))[np.append(0, np.cumsum([len(x) for x in own if isinstance(x, list)], dtype=np.int64))]
+        parts = iter([ids[a:b] for a, b in zip(ends, ends[1:], strict=False)])
+        out = [next(parts) if isinstance(x, list) else x for x in own]
+        return np.concatenate([np.empty(0, self.dtype), *out]), np.array([len(x) for x in out], np.int64)
+
+    def text(self, text: bytes | None) -> bytes:
+        """Ids of one whole text; null: none."""
+        return self.texts([text])[0].tobytes()
 
 
 _OPEN: dict[str, WordIds] = {}

@@ -9,7 +9,7 @@ from tokenizers import Tokenizer
 
 from lectern.llm import attention_lm, ngram_join, passages
 from lectern.llm.common import bytes_hashes
-from lectern.llm.tokens import word_ids
+from lectern.llm.tokens import WordIds, word_ids
 
 
 def made(rng, n):
@@ -142,3 +142,19 @@ def test_all_links_are_counted(spark):
     df = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(own)], "doc_id long, text string")
     got = {r["doc_id"]: r["n_links"] for r in ngram_join.similar_documents(df).collect()}
     assert got == {k: sum(near(a, b) for b in set(sets)) for k, a in enumerate(sets)}
+
+
+def test_texts_are_encoded_together():
+    """Many texts in one call: each as by the tokenizer, new words learnt once, pieces of words kept for later calls."""
+    words, whole = WordIds(TOKENS), Tokenizer.from_file(TOKENS)
+    texts = [None, "", " \n", "Ein Wort, ein wort; Éa'll <unk> x", "éa ein", "ein wort, 12 ein", "wort."] * 40
+    learn, calls = words._learn, []
+    words._learn = lambda: (calls.append(len(words.asked)), learn())
+    ids, n = words.texts([t.encode() if t is not None else None for t in texts])
+    ends = [0, *n.cumsum().tolist()]
+    for t, a, b in zip(texts, ends, ends[1:], strict=False):
+        assert ids[a:b].tolist() == (whole.encode(t, add_special_tokens=False).ids if t else []), t
+    assert len(calls) == 1
+    kept = len(words.pieces)
+    words.texts([b"wort, wort! wort"])
+    assert len(words.pieces) == kept + 2  # the two marks alone are new
