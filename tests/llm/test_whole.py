@@ -158,3 +158,20 @@ def test_texts_are_encoded_together():
     kept = len(words.pieces)
     words.texts([b"wort, wort! wort"])
     assert len(words.pieces) == kept + 2  # the two marks alone are new
+
+
+def test_surroundings_tell_neighbourhoods():
+    """Equal for equal values around a stretch, wherever it stands; other values, another order or an end of the text differ."""
+    rng, t = np.random.default_rng(4), 46
+    reach = t + passages.SLACK
+    core = rng.integers(1, 1 << 63, 2 * reach + passages.STRETCH).astype(np.uint64)
+    at = np.array([reach])
+    own = passages.surroundings(core, at, t)
+    assert (passages.surroundings(np.concatenate([core[:300], core, core[:7]]), at + min(300, len(core)), t) == own).all()
+    changed = [core[1:], core[:-1], np.r_[core[1], core[0], core[2:]]]
+    for k in range(len(core)):
+        x = core.copy()
+        x[k] += np.uint64(1)
+        changed.append(x)
+    names = [int(own[0]), *(int(passages.surroundings(x, at - (k == 0), t)[0]) for k, x in enumerate(changed))]
+    assert len(set(names)) == len(names)
