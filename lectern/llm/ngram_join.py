@@ -12,8 +12,8 @@ much, or if the sets' parity marks tell that they differ in too many tokens; all
 
 Equal sets are one node from the start. Entries with many nodes are not expanded into pairs at once: in each of a few
 rounds every node meets one pivot of its entry; what is linked becomes one component, and only pairs of different
-components are left for the rest, which is exhaustive. Where links are counted, the pairs within the components that
-have not been verified yet follow: as many as there are links, at least, so the square of a group of near copies.
+components are left for the rest, which is exhaustive. Where links are counted, components are dealt into blocks and
+each two blocks of one are counted together: no pair is a row, and a node is sent as often as there are blocks.
 """
 
 from __future__ import annotations
@@ -39,6 +39,8 @@ UNIVERSES = 16
 PIVOTS = 2
 #: A round's nodes meet all others of entries with no more nodes than this.
 SMALL = 4
+#: Nodes of a block of a component whose links are counted, and tokens of all its sets, about.
+BLOCK, BLOCK_TOKENS = 512, 1_000_000
 #: Documents of which a task remembers that it has indexed their set; others are indexed again, to no effect.
 SEEN = 500_000
 
@@ -216,9 +218,9 @@ def _similar(docs: DataFrame, at_least: int, width: int, count_links: bool) -> D
     # One text and the marks of each node that has a chance.
     marks = ["m0", "m1", "m2", "m3"]
     chosen = own.where("node is not null").join(shared.select("node").distinct(), "node", "left_semi")
-    chosen = stored(chosen.groupBy("node").agg(F.min("doc_id").alias("doc_id"), *[F.first(m).alias(m) for m in marks]), f"{base}/chosen")
-    texts = rows.join(chosen.where("doc_id is not null").select("node", "doc_id"), "doc_id")
-    texts = stored(texts.mapInArrow(_with_node(width), "node long, asked long, text binary").where("node = asked").select("node", "text"), f"{base}/texts")
+    chosen = stored(chosen.groupBy("node").agg(F.min(F.expr("if(doc_id is null, null, struct(doc_id, text_hash))")).alias("of"), *[F.first(m).alias(m) for m in marks]), f"{base}/chosen")
+    texts = hashed.join(chosen.where("of is not null").select("node", F.col("of.doc_id").alias("doc_id"), F.col("of.text_hash").alias("text_hash")), ["doc_id", "text_hash"])
+    texts = stored(texts.select("node", "text"), f"{base}/texts")
     tidy(spark)
 
     links = spark.createDataFrame([], "a long, b long")
@@ -258,33 +260,77 @@ def _similar(docs: DataFrame, at_least: int, width: int, count_links: bool) -> D
         of = first.select("node", F.col("node").alias("component"), F.col("first").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
     else:
         if count_links:
-            inside = shared.join(chosen.join(named, "node").select("node", *marks, F.col("component").alias("c")), "node")
-            right = inside.select("sig", "c", F.col("node").alias("a"), F.col("n").alias("na"), F.col("p").alias("pa"), *[F.col(m).alias(f"{m}a") for m in marks])
-            pairs = inside.join(right, ["sig", "c"]).where(f"a < node and {near}").select("a", F.col("node").alias("b")).distinct()
-            for old in tested:
-                pairs = pairs.join(old, ["a", "b"], "left_anti")
-            pairs = stored(pairs, f"{base}/inside")
-            loaded = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b").join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-            links = links.unionByName(stored(loaded.select("a", "b", "text_a", "text_b").mapInArrow(_verify(width, at_least), "a long, b long").distinct(), f"{base}/links_inside"))
-            tidy(spark)
-        degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
+            degree = _degrees(named.join(shared.select("node", "n").distinct(), "node"), texts, width, at_least)
+        else:
+            degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
         named = first.join(named, "node", "left").withColumn("component", F.coalesce("component", "node"))
         least = named.groupBy("component").agg(F.min("first").alias("component_id"))
         of = named.join(least, "component").join(degree, "node", "left").select("node", "component", "component_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
     of = stored(of, f"{base}/of")
-    for x in ["shared", "chosen", "texts", "inside", "links_inside", *(f"{x}{k}" for x in ("pairs", "links", "components") for k in range(PIVOTS + 1))]:
+    for x in ["shared", "chosen", "texts", *(f"{x}{k}" for x in ("pairs", "links", "components") for k in range(PIVOTS + 1))]:
         drop_dir(spark, f"{base}/{x}")
     tidy(spark)
     out = own.join(of, "node", "left")
     return out.select("doc_id", "text_hash", "component", F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.coalesce("n_links", F.lit(0)).cast(T.LongType()).alias("n_links"))
 
 
-def _with_node(width: int):
+def _degrees(named: DataFrame, texts: DataFrame, width: int, at_least: int) -> DataFrame:
+    """node, n_links: how many others of its component (node, component, n) each node links with.
+
+    A component is dealt into blocks of nodes by hash; each two of its blocks meet in one group, which counts what all
+    their pairs have in common at once. A node goes to as many groups as its component has blocks, one for most.
+    """
+    size = named.groupBy("component").agg(F.count("*").alias("m"), F.sum("n").alias("all"))
+    size = size.select("component", "m", F.expr(f"greatest(ceil(m / {BLOCK}), ceil(all / {BLOCK_TOKENS}))").cast("int").alias("blocks"))
+    sized = named.join(size, "component")
+    two = sized.where("m = 2").select("node", F.lit(1).cast("long").alias("n_links"))  # a component of two is one link
+    own = sized.where("m > 2").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    met = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = met.select("node", "component", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    met = met.join(texts, "node").repartition(n_partitions(named.sparkSession), "component", "i", "j").sortWithinPartitions("component", "i", "j")
+    counted = met.select("component", "i", "j", "own", "node", "text").mapInArrow(_count_links(width, at_least), "node long, n_links long")
+    return counted.unionByName(two).groupBy("node").agg(F.sum("n_links").alias("n_links"))
+
+
+def common_counts(sets: list[np.ndarray], tile: int = 4096) -> np.ndarray:
+    """How many values each two of the sets have in common, summed over tiles of the values that two or more have."""
+    values, of, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    place = np.cumsum(times > 1) - 1
+    row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    often = times[of] > 1
+    row, column = row[often], place[of[often]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    out = np.zeros((len(sets), len(sets)), np.float64)
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, tile):
+        a, b = np.searchsorted(column, [at, at + tile])
+        x = np.zeros((len(sets), tile), np.float32)  # sums up to a tile's width are exact
+        x[row[a:b], column[a:b] - at] = 1
+        out += x @ x.T
+    return out.astype(np.int64)
+
+
+def _count_links(width: int, at_least: int):
+    def counted(group: tuple, nodes: dict[int, tuple[int, np.ndarray]]) -> pa.RecordBatch:
+        _, i, j = group
+        block, sets = np.array([b for b, _ in nodes.values()]), [g for _, g in nodes.values()]
+        both, n = common_counts(sets), np.array([len(g) for g in sets])
+        near = 100 * both >= at_least * (n[:, None] + n[None, :] - both)
+        near &= block[:, None] != block[None, :] if i != j else ~np.eye(len(n), dtype=bool)
+        return pa.RecordBatch.from_arrays([pa.array(list(nodes), pa.int64()), pa.array(near.sum(axis=1).astype(np.int64))], ["node", "n_links"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            asked, texts = batch.column("node").to_pylist(), batch.column("text").to_pylist()
-            nodes = [node_of(g) if len(g := grams(t, width)) else None for t in texts]
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(asked, pa.int64()), pa.array(texts, pa.binary())], ["node", "asked", "text"])
+        last, nodes = None, {}
+        for batch in (x for b in batches for x in slices(b, "text")):
+            for component, i, j, own, node, text in _columns(batch, "component", "i", "j", "own", "node", "text"):
+                if (component, i, j) != last:
+                    if nodes:
+                        yield counted(last, nodes)
+                    last, nodes = (component, i, j), {}
+                if node not in nodes:  # equal rows have one node
+                    nodes[node] = own, grams(text, width)
+        if nodes:
+            yield counted(last, nodes)
 
     return run
 

@@ -175,3 +175,33 @@ def test_surroundings_tell_neighbourhoods():
         changed.append(x)
     names = [int(own[0]), *(int(passages.surroundings(x, at - (k == 0), t)[0]) for k, x in enumerate(changed))]
     assert len(set(names)) == len(names)
+
+
+def test_links_are_counted_by_blocks(spark, monkeypatch):
+    """Components of many blocks; what is sent grows with the blocks, and no pair of a component is a row."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 5)
+    rng, own = random.Random(12), []
+    for size in (2, 3, 40):
+        base = made(rng, 90)
+        for _ in range(size):
+            w = list(base)
+            w[rng.randrange(90)] = f"x{rng.randrange(10**6)}"
+            if rng.random() < 0.5:
+                w[rng.randrange(90)] = f"x{rng.randrange(10**6)}"
+            own.append(w)
+    own += [own[0], own[20]]
+    sets = [frozenset(tuple(w[k : k + 4]) for k in range(87)) for w in own]
+    near = lambda a, b: a != b and 100 * len(a & b) >= 85 * len(a | b)
+    df = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(own)], "doc_id long, text string")
+    got = {r["doc_id"]: r["n_links"] for r in ngram_join.similar_documents(df).collect()}
+    assert got == {k: sum(near(a, b) for b in set(sets)) for k, a in enumerate(sets)}
+
+
+def test_common_counts():
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 900, rng.integers(1, 400)).astype(np.uint64)) for _ in range(30)]
+    for tile in (7, 4096):
+        got = ngram_join.common_counts(sets, tile)
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets):
+                assert i == j or got[i, j] == len(np.intersect1d(a, b))
