@@ -1,9 +1,11 @@
 """Cases in which an operator once did less than its whole job."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -205,3 +207,54 @@ def test_common_counts():
         for i, a in enumerate(sets):
             for j, b in enumerate(sets):
                 assert i == j or got[i, j] == len(np.intersect1d(a, b))
+
+
+def test_a_word_over_and_over_is_indexed_once():
+    """A run of one word is a few rows, however long; no stretch of it stands for each of its places."""
+    rng = random.Random(13)
+    text = " ".join([*made(rng, 40), *["the"] * 400, *made(rng, 40)]).encode()
+    batch = pa.RecordBatch.from_arrays([pa.array([1], pa.int64()), pa.array([text], pa.binary())], ["doc_id", "text"])
+    sigs = Counter(x for part in passages._stretches(46)([batch]) for x in part.column("sig").to_pylist())
+    assert max(sigs.values()) <= 9 and sum(sigs.values()) < 70
+
+
+def test_similar_runs_of_one_word_share_a_key():
+    """Passages made up of runs and other words, with one edit anywhere."""
+    rng = random.Random(14)
+    for _ in range(1500):
+        p = []
+        while len(p) < 50:
+            p += [rng.choice("abc")] * rng.choice([1, 12, 18, 20, 25, 40, 60]) if rng.random() < 0.7 else made(rng, rng.randrange(1, 9))
+        p = p[:50]
+        at = rng.randrange(50)
+        q = rng.choice([[*p[:at], "new", *p[at:]], [*p[:at], *p[at + 1 :]], [*p[:at], "new", *p[at + 1 :]]])
+        a, b = (passages._hashes(" ".join([*made(rng, 70), *[x[0]] * rng.choice([0, 5]), *x, *made(rng, 70)]).encode()) for x in (p, q))
+        keys = [set(passages.indexed(g, 46)[0].tolist()) for g in (a, b)]
+        assert keys[0] & keys[1], (p, q)
+
+
+def test_runs_of_one_word_meet_those_alike(spark):
+    """Thousands of pairs share a run of one word and nothing else; runs and what is next to them repeat, with an edit, in a few."""
+    rng, texts = random.Random(15), []
+    for k in range(120):
+        texts.append([*made(rng, 50), *["the"] * (20 + k % 9), *made(rng, 50)])
+    mixed = [*made(rng, 12), *["the"] * 25, *made(rng, 15)]
+    copy = list(mixed)
+    copy[40] = "new"
+    texts += [[*made(rng, 30), *x, *made(rng, 30)] for x in (mixed, copy, ["the"] * 300, ["the"] * 70, [*["the"] * 24, "new", *["the"] * 25])]
+    df = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(texts)], "doc_id long, text string")
+    rows = passages.merged_spans(passages.repeated_passages(df).drop("text_hash")).collect()
+    got = {r["doc_id"]: (r["source_id"], r["first_word"], r["end_word"]) for r in rows}
+    assert set(got) == {121, 122, 123, 124}
+    assert got[121] == (120, 30, 82) and got[123] == (122, 30, 100) and got[124][0] in (122, 123) and got[124][1:] == (30, 80)
+    assert got[122][0] == 122 and got[122][2] == 330
+
+
+def test_runs_of_one_word_are_not_paired_by_it(spark, monkeypatch):
+    """The pairs to check do not grow with the square of the texts that repeat a word."""
+    rng, n = random.Random(16), []
+    plain = passages._rest
+    monkeypatch.setattr(passages, "_rest", lambda *a: n.append((out := plain(*a)).count()) or out)
+    texts = [[*made(rng, 50), *["the"] * (20 + k % 19), *made(rng, 50)] for k in range(150)]
+    passages.repeated_passages(spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(texts)], "doc_id long, text string")).count()
+    assert n[0] < 150
