@@ -31,6 +31,13 @@ def test_kind(spark, text, style, kind):
     assert got == kind
 
 
+def test_score_to_three(spark):
+    """All that a signature asks of the letters' count, without counting all of them."""
+    texts = ["", "a", "ab", "a-b", "a b c", "а̄", "а̄ x", "а̄а̄ x", "Āā", "Āāṣ", "1 2 3", "йй\nx\ny", "x\n\ny z", "\u0301\u0301\u0301", "ж́ж́", "a" * 500]
+    rows = spark.createDataFrame([(x,) for x in texts], "text string").select(tx.translit_score(F.col("text")).alias("n"), tx.translit_score_to_three(F.col("text")).alias("m")).collect()
+    assert all(min(r["n"], 3) == min(r["m"], 3) for r in rows) and {min(r["n"], 3) for r in rows} == {0, 1, 2, 3}
+
+
 def test_digits_and_excerpt(spark):
     assert one(spark, "1.5-2.5 and 3 4 5 6 7 8 9 10", tx.digit_signature) == "1.5-2.5|3|4|5|6|7|8|9"
     assert one(spark, "abcdef ghij", lambda c: tx.excerpt(c, 8)) == "abcdef…"
